@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from newsloom.llm.history import HashHistory, find_known, keys_of
 from newsloom.llm.main_content import find_foreign_lines
+from newsloom.llm.mixing import mix, token_sizes
 from newsloom.llm.repeated_lines import find_repeated_lines
 from newsloom.llm.residue import find_residue
+from newsloom.llm.spam import find_spam
+from newsloom.llm.tokenize import encode_texts
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -37,10 +40,30 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return find_residue(articles.unionByName(records))
 
 
+def p6_ids(spark: SparkSession, sf: str) -> DataFrame:
+    return encode_texts(_table(spark, sf, "documents"))
+
+
+def p7_mix(spark: SparkSession, sf: str) -> DataFrame:
+    return mix(token_sizes(_table(spark, sf, "documents")), _table(spark, sf, "mix_targets"))[0]
+
+
+def p7_shares(spark: SparkSession, sf: str) -> DataFrame:
+    return mix(token_sizes(_table(spark, sf, "documents")), _table(spark, sf, "mix_targets"))[1]
+
+
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    return find_spam(_table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p2_found": p2_found,
     "p4_found": p4_found,
     "p5_found": p5_found,
+    "p6_ids": p6_ids,
+    "p7_mix": p7_mix,
+    "p7_shares": p7_shares,
+    "p8_found": p8_found,
 }
 ORACLES: dict[str, str] = {}
