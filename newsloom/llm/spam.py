@@ -35,6 +35,8 @@ MEASURES = {"link_share": 1, "tag_share": 1, "bad_share": 1, "function_share": -
 _NAMES = list(MEASURES)
 #: Squared distance, in 7 dimensions, that 0.1 % of usual texts exceed; least projection on the spam direction.
 FAR, TOWARDS = 24.3, 1.5
+#: Deviation up to which a text counts for the scatter; weight of independent measures in it.
+NEAR, SHRINK = 3.5, 0.3
 #: Share of a text that must be repetition, links or tags.
 MOSTLY = 0.5
 
@@ -102,7 +104,8 @@ def _unit_is_bad(unit: str, lang: str, top: frozenset[str]) -> bool:
         return True
     of_top = sum(n for w, n in counts.items() if w in top)
     listed = not unit.endswith(_SENTENCE_END) and content >= 1 and (function == 0 or len(words) >= 5 and function * 8 < len(words))
-    return listed or function * 14 < len(words) and len(words) >= 12 or content >= 2 and of_top >= 0.6 * content
+    again = sum(n for w, n in counts.items() if n > 1 and w not in functions) if any(counts[w] > 1 for w in top) else 0
+    return listed or function * 14 < len(words) and len(words) >= 12 or content >= 2 and max(of_top, again) >= 0.5 * content
 
 
 def measures(text: str) -> tuple[str, list[float]]:
@@ -161,22 +164,28 @@ def text_measures(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def robust_model(features: DataFrame) -> dict[str, dict[str, np.ndarray]]:
     """For each language the centre, scale and inverse scatter over all texts.
 
-    Two aggregations with partial sums: medians and median deviations by mergeable sketches, then the sums
-    of products of clipped deviations. The result is a few numbers for each of the five languages.
+    Three aggregations with partial sums: medians and median deviations by mergeable sketches, then the sums
+    of products over the texts none of whose measures lies far out. The result is a few numbers for each of
+    the five languages.
     """
-    middle = features.groupBy("language").agg(*(F.percentile_approx(m, F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9)), 2000).alias(m) for m in _NAMES))
-    medians = {r["language"]: {m: r[m] for m in _NAMES} for r in middle.collect()}
+    k = F.col("language")
+    middle = {r["language"]: np.array([r[m] for m in _NAMES]) for r in features.groupBy(k).agg(*(F.percentile_approx(m, 0.5, 5000).alias(m) for m in _NAMES)).collect()}
+    if not middle:
+        return {}
+    away = features.groupBy(k).agg(*(F.percentile_approx(F.abs(F.col(m) - _by_language(middle, i)), 0.5, 5000).alias(m) for i, m in enumerate(_NAMES)))
+    spread = {r["language"]: np.array([max(1.4826 * r[m], _FLOOR[m]) for m in _NAMES]) for r in away.collect()}
+    z = _deviations(features, middle, spread)
+    near = z.where(" and ".join(f"abs(z_{m}) <= {NEAR}" for m in _NAMES))
+    n = len(_NAMES)
+    products = near.groupBy(k).agg(F.count("*").alias("n"), *(F.sum(F.col(f"z_{_NAMES[i]}") * F.col(f"z_{_NAMES[j]}")).alias(f"s_{i}_{j}") for i in range(n) for j in range(i + 1)))
+    sums = {r["language"]: r for r in products.collect()}
     model = {}
-    centre = {k: np.array([v[m][1] for m in _NAMES]) for k, v in medians.items()}
-    spread = {k: np.array([max((v[m][2] - v[m][0]) / 2.563, _FLOOR[m]) for m in _NAMES]) for k, v in medians.items()}
-    z = _deviations(features, centre, spread)
-    clipped = [F.greatest(F.lit(-3.0), F.least(F.lit(3.0), F.col(f"z_{m}"))) for m in _NAMES]
-    products = z.groupBy("language").agg(F.count("*").alias("n"), *(F.sum(clipped[i] * clipped[j]).alias(f"s_{i}_{j}") for i in range(len(_NAMES)) for j in range(i + 1)))
-    for r in products.collect():
-        k = r["language"]
-        scatter = np.array([[r[f"s_{max(i, j)}_{min(i, j)}"] / r["n"] for j in range(len(_NAMES))] for i in range(len(_NAMES))])
-        scatter = 0.7 * scatter + 0.3 * np.eye(len(_NAMES))
-        model[k] = {"centre": centre[k], "spread": spread[k], "inverse": np.linalg.inv(scatter)}
+    for lang in middle:
+        scatter = np.eye(n)
+        if lang in sums:
+            r = sums[lang]
+            scatter = (1 - SHRINK) * np.array([[r[f"s_{max(i, j)}_{min(i, j)}"] / r["n"] for j in range(n)] for i in range(n)]) + SHRINK * scatter
+        model[lang] = {"centre": middle[lang], "spread": spread[lang], "inverse": np.linalg.inv(scatter)}
     return model
 
 
