@@ -45,22 +45,22 @@ _ANCHOR = re.compile(r"<a\s[^>]*>.*?</a>", re.IGNORECASE | re.DOTALL)
 _CODE = re.compile(r"(?<!\w)(?:[A-Z]{2,6}|货号|型号|编号)[-_ ]?\d{3,}", re.ASCII)
 _CUT = re.compile(r"(?<=[。！？!?；;])|(?<=[a-zäöüßáéíóúñçãõâê%\d][.])\s+|\n")
 _TOKEN = re.compile(r"[^\W\d_]+|\d+")
-_HAN = re.compile(r"[㐀-鿿]")
+_NOT_HAN = re.compile(r"[^㐀-鿿]+")
 _HAN_RUN = re.compile(r"[㐀-鿿]+")
 _TAG = re.compile(r"#[^\s#]+")
 _SETS = {k: frozenset(v) for k, v in FUNCTION_WORDS.items()}
-_HAN_SET = frozenset(FUNCTION_HAN)
-_LIST_SIGNS = re.compile(r"[,，、/|;；]\s*")
+_FUNCTION_HAN = re.compile(f"[{FUNCTION_HAN}]")
 _SENTENCE_END = tuple("。！？!?；;.”\"」…")
 
 
 def language(text: str) -> str:
     """zh by script, else the language most of whose function words stand in the text; the lang column is not relied on."""
-    han = len(_HAN.findall(text))
-    if han * 3 >= len(text) * 0.6 or han >= 0.25 * max(1, sum(map(str.isalpha, text))):
-        return "zh"
-    words = text.lower().split()
-    hits = {k: sum(w in s for w in words) for k, s in _SETS.items()}
+    if not text.isascii():
+        han = len(_NOT_HAN.sub("", text))
+        if han >= 0.2 * len(text):
+            return "zh"
+    words = set(text.lower().split())
+    hits = {k: len(words & s) / len(s) for k, s in _SETS.items()}
     best = max(hits, key=lambda k: hits[k])
     return best if hits[best] else "en"
 
@@ -71,79 +71,94 @@ def _words(text: str, lang: str) -> list[str]:
         return _TOKEN.findall(text.lower())
     out = []
     for run in _HAN_RUN.findall(text):
-        out += [run[i : i + 2] for i in range(len(run) - 1)] or [run]
+        out += map("".join, zip(run, run[1:])) if len(run) > 1 else [run]
     return out
 
 
-def _unit_is_bad(unit: str, lang: str, top: frozenset[str]) -> bool:
-    """Whether one sentence or line is links, tags, codes, or keywords rather than a sentence."""
-    if _URL.search(unit):
-        rest = _URL.sub(" ", unit)
-        return len(rest.strip()) < 60 or not rest.rstrip().endswith(_SENTENCE_END)
-    if len(_TAG.findall(unit)) >= 2 or unit.startswith("#") or _CODE.search(unit) and not unit.endswith("。"):
-        return True
-    words = _words(unit, lang)
-    if not words:
+def _is_bad(unit: str, words: list[str], lang: str, top: frozenset[str]) -> bool:
+    """Whether one sentence or line without links, tags and codes is keywords rather than a sentence."""
+    n = len(words)
+    if not n:
         return False
-    counts = Counter(words)
+    ended = unit.endswith(_SENTENCE_END)
     if lang == "zh":
-        function = sum(c in _HAN_SET for c in unit)
-        most = max((n for w, n in counts.items()), default=0)
-        repeated = most >= 3 and most * 8 >= len(words)
-        if repeated or most >= 2 and sum(n for w, n in counts.items() if w in top) >= 0.3 * len(words):
+        content, function = words, n
+        if not ended or n >= 12:
+            function = len(_FUNCTION_HAN.findall(unit))
+    else:
+        functions = _SETS[lang]
+        content = [w for w in words if w not in functions]
+        function = n - len(content)
+    size = len(content)
+    most = 1
+    if size - len(set(content)) >= 2:
+        counts = Counter(content)
+        most = max(c for w, c in counts.items() if not w.isdigit() or c == 1)
+        if most >= 3 and most * (8 if lang == "zh" else 7) >= n:
             return True
-        of_top = sum(n for w, n in counts.items() if w in top)
+    of_top = sum(w in top for w in content) if top else 0
+    if lang == "zh":
         parts = unit.split()
-        listed = not unit.endswith(_SENTENCE_END) and (function == 0 or len(parts) >= 3 and len(unit) <= 7 * len(parts))
-        return listed or function == 0 and len(words) >= 12 or of_top >= 0.5 * len(words)
-    functions = _SETS[lang]
-    function = sum(n for w, n in counts.items() if w in functions)
-    content = len(words) - function
-    most = max((n for w, n in counts.items() if w not in functions and not w.isdigit()), default=0)
-    if most >= 3 and most * 7 >= len(words) or most >= 2 and sum(n for w, n in counts.items() if w in top) >= 0.35 * len(words):
-        return True
-    of_top = sum(n for w, n in counts.items() if w in top)
-    listed = not unit.endswith(_SENTENCE_END) and content >= 1 and (function == 0 or len(words) >= 5 and function * 8 < len(words))
-    again = sum(n for w, n in counts.items() if n > 1 and w not in functions) if any(counts[w] > 1 for w in top) else 0
-    return listed or function * 14 < len(words) and len(words) >= 12 or content >= 2 and max(of_top, again) >= 0.5 * content
+        listed = not ended and (function == 0 or len(parts) >= 3 and len(unit) <= 7 * len(parts))
+        return listed or function == 0 and n >= 12 or of_top >= 0.5 * n or of_top >= 0.3 * n and size > len(set(content))
+    again = 0
+    if of_top > 1:
+        counts = Counter(content)
+        if any(counts[w] > 1 for w in top):
+            again = sum(c for c in counts.values() if c > 1)
+    listed = not ended and size >= 1 and (function == 0 or n >= 5 and function * 8 < n)
+    return listed or function * 14 < n and n >= 12 or size >= 2 and max(of_top, again) >= 0.5 * size or of_top >= 0.35 * n and size > len(set(content))
 
 
 def measures(text: str) -> tuple[str, list[float]]:
     """Language and measures of a text, which must not be blank."""
     lang = language(text)
     n = len(text)
-    links = sum(len(m) for m in _URL.findall(text))
-    tags = sum(len(m) for m in _TAG.findall(text)) + sum(len(m) for m in _CODE.findall(text))
-    plain = _URL.sub(" ", text) if links else text
-    words = _words(plain, lang)
-    counts = Counter(words)
-    total = len(words)
-    functions = _SETS.get(lang, _HAN_SET)
-    if lang == "zh":
-        han = len(_HAN.findall(plain))
-        function = sum(c in _HAN_SET for c in plain) / max(1, han)
-        content = counts
-    else:
-        function = sum(c for w, c in counts.items() if w in functions) / max(1, total)
-        content = {w: c for w, c in counts.items() if w not in functions and not w.isdigit()}
-    size = sum(content.values())
-    concentration = sum(c * (c - 1) for c in content.values()) / max(1, size * (size - 1))
-    entropy = -sum(c / size * math.log(c / size) for c in content.values()) / math.log(size) if size > 1 else 1.0
-    top = frozenset(w for w, c in content.items() if c >= 8 and c >= 0.06 * size)
+    linked = "http" in text or "www." in text or "<" in text or "HTTP" in text
+    links = sum(map(len, _URL.findall(text))) if linked else 0
+    tagged = sum(map(len, _TAG.findall(text))) if "#" in text else 0
+    coded = sum(map(len, _CODE.findall(text)))
     bad = sentence = 0
-    if links and _ANCHOR.search(text):
-        bad_anchor = sum(len(m[0]) for m in _ANCHOR.finditer(text))
+    if links and "<a" in text.lower():
+        bad = sum(len(m[0]) for m in _ANCHOR.finditer(text))
         text = _ANCHOR.sub("\n", text)
-        bad += bad_anchor
+    units, doubtful = [], []
     for unit in _CUT.split(text):
         u = unit.strip()
         if not u:
             continue
-        if _unit_is_bad(u, lang, top):
+        plain = _URL.sub(" ", u) if links else u
+        marked = links and len(plain) < len(u) and (len(plain.strip()) < 60 or not plain.rstrip().endswith(_SENTENCE_END))
+        marked = marked or tagged and (u[0] == "#" or len(_TAG.findall(u)) >= 2) or coded and _CODE.search(u) and not u.endswith("。")
+        words = _words(plain, lang)
+        units.append(words)
+        if marked:
+            bad += len(u)
+        else:
+            doubtful.append((u, words))
+    functions = _SETS.get(lang, frozenset())
+    counts = Counter(w for words in units for w in words)
+    total = sum(counts.values())
+    if lang == "zh":
+        function = len(_FUNCTION_HAN.findall(text)) / max(1, total)
+    else:
+        common = [w for w in counts if w in functions]
+        function = sum(counts.pop(w) for w in common) / max(1, total)
+    size = sum(counts.values())
+    squares = sum(c * c for c in counts.values())
+    concentration = (squares - size) / max(1, size * (size - 1))
+    entropy = 1.0
+    if size > 1:
+        sizes = Counter(counts.values())
+        entropy = 1.0 - sum(m * c * math.log(c) for c, m in sizes.items()) / (size * math.log(size))
+    least = max(8, 0.06 * size)
+    top = frozenset(w for w, c in counts.items() if c >= least and not w.isdigit())
+    for u, words in doubtful:
+        if _is_bad(u, words, lang, top):
             bad += len(u)
         elif u.endswith(_SENTENCE_END):
             sentence += len(u)
-    return lang, [links / n, tags / n, min(1.0, bad / n), function, concentration, entropy, min(1.0, sentence / n)]
+    return lang, [links / n, min(1.0, (tagged + coded) / n), min(1.0, bad / n), function, concentration, entropy, min(1.0, sentence / n)]
 
 
 FEATURES = "doc_id long, language string, " + ", ".join(f"{m} double" for m in _NAMES)
