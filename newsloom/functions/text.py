@@ -36,7 +36,8 @@ def clean_lines(c: Column, dropped: list[str] | None = None) -> Column:
     lines = F.split(F.translate(c, "　 ", "  "), _LINE_BREAKS)
     lines = F.transform(lines, lambda x: strip(F.regexp_replace(x, "[ \t]+", " ")))
     lines = F.filter(lines, lambda x: (x != "") & ~F.array_contains(words, x))
-    return F.filter(lines, lambda x, i: (i == 0) | (x != F.get(lines, i - 1)))
+    # bound once as the element of a list, so that the comparison does not work it out for each line
+    return F.get(F.transform(F.array(lines), lambda bound: F.filter(bound, lambda x, i: (i == 0) | (x != F.get(bound, i - 1)))), 0)
 
 
 def clean_text(c: Column) -> Column:

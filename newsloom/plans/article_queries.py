@@ -108,8 +108,8 @@ def coverage_by_source(spark, sf):
 
 
 def _admitted(spark, sf):
-    body = clean_text(F.coalesce("body", F.lit("")))
-    return _articles(spark, sf).withColumn("a", admission(F.col("title"), body, F.col("excluded_reason"))).select("pos", "source", "a.outcome", "a.reason")
+    rows = _articles(spark, sf).withColumn("clean", clean_text(F.coalesce("body", F.lit(""))))
+    return rows.withColumn("a", admission(F.col("title"), F.col("clean"), F.col("excluded_reason"))).select("pos", "source", "a.outcome", "a.reason")
 
 
 def admission_ladder(spark, sf):
