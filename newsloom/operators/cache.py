@@ -20,10 +20,10 @@ def cached_results(rows: DataFrame, cache: DataFrame, key: str, version: str, sc
     """Adds filter and summary (parsed results of the two stages of a version, null where there is none) and class.
 
     rejected: the filter is there and did not select; ready: it selected and the summary is there, whose fields then
-    override the filter's; pending: anything else. Results that are no JSON count as missing.
+    override the filter's; pending: anything else. Results that are no JSON, or have no status, count as missing.
     """
     own = last_writes(cache.where(F.col("stage_version") == version)).withColumn("_r", F.from_json("result_json", schema))
-    own = own.where("_r is not null").groupBy("cache_key").agg(*(F.max(F.when(F.col("stage") == s, F.col("_r"))).alias(s) for s in ("filter", "summary")))
+    own = own.where("_r.status is not null").groupBy("cache_key").agg(*(F.max(F.when(F.col("stage") == s, F.col("_r"))).alias(s) for s in ("filter", "summary")))
     joined = rows.join(own, rows[key] == own["cache_key"], "left").drop(own["cache_key"])
     selected = F.coalesce(F.col("filter.status") == "selected", F.lit(False))
     state = F.when(F.col("filter").isNotNull() & ~selected, "rejected").when(selected & F.col("summary").isNotNull(), "ready").otherwise("pending")
