@@ -45,3 +45,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Bytes of files for each core below which a table has too few splits to keep all cores busy.
+SMALL_BYTES = 2 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The frame as it is, or dealt out to all cores if the files it reads are small for them.
+
+    A small file is one or two splits, which would leave most cores idle while Python works through whole
+    texts. A table above ``SMALL_BYTES`` for each core has splits enough and is not shuffled.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if size < cores * SMALL_BYTES else df
