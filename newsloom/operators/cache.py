@@ -13,7 +13,7 @@ def cache_key(url: Column, title: Column) -> Column:
 
 def last_writes(cache: DataFrame) -> DataFrame:
     """The last write of each key, stage and version; of equal times the greatest result."""
-    return cache.groupBy("cache_key", "stage", "stage_version").agg(F.max(F.struct("updated_at", "result_json")).alias("_w")).select("cache_key", "stage", "stage_version", "_w.result_json", "_w.updated_at")
+    return cache.groupBy("cache_key", "stage", "stage_version").agg(F.max(F.struct("updated_at", "result_json")).alias("__nl_w")).select("cache_key", "stage", "stage_version", "__nl_w.result_json", "__nl_w.updated_at")
 
 
 def cached_results(rows: DataFrame, cache: DataFrame, key: str, version: str, schema: str = "status string, score_total int, event_key string") -> DataFrame:
@@ -22,8 +22,8 @@ def cached_results(rows: DataFrame, cache: DataFrame, key: str, version: str, sc
     rejected: the filter is there and did not select; ready: it selected and the summary is there, whose fields then
     override the filter's; pending: anything else. Results that are no JSON, or have no status, count as missing.
     """
-    own = last_writes(cache.where(F.col("stage_version") == version)).withColumn("_r", F.from_json("result_json", schema))
-    own = own.where("_r.status is not null").groupBy("cache_key").agg(*(F.max(F.when(F.col("stage") == s, F.col("_r"))).alias(s) for s in ("filter", "summary")))
+    own = last_writes(cache.where(F.col("stage_version") == version)).withColumn("__nl_r", F.from_json("result_json", schema))
+    own = own.where("__nl_r.status is not null").groupBy("cache_key").agg(*(F.max(F.when(F.col("stage") == s, F.col("__nl_r"))).alias(s) for s in ("filter", "summary")))
     joined = rows.join(own, rows[key] == own["cache_key"], "left").drop(own["cache_key"])
     selected = F.coalesce(F.col("filter.status") == "selected", F.lit(False))
     state = F.when(F.col("filter").isNotNull() & ~selected, "rejected").when(selected & F.col("summary").isNotNull(), "ready").otherwise("pending")

@@ -15,8 +15,8 @@ def best_per_key(df: DataFrame, keys: list[Column], best: list[Column], id_col:
     one row a task. Null keys are equal to one another. A null in ``best`` is least.
     """
     key = F.sha2(F.concat_ws("", *(F.coalesce(k.cast("string"), F.lit("")) for k in keys)), 256)
-    scored = df.select(key.alias("_key"), F.struct(*(b.alias(f"b{i}") for i, b in enumerate(best)), (-F.col(id_col)).alias("id")).alias("_best"))
-    kept = scored.groupBy("_key").agg(F.max("_best").alias("_best")).select((-F.col("_best.id")).alias(id_col))
+    scored = df.select(key.alias("__nl_key"), F.struct(*(b.alias(f"b{i}") for i, b in enumerate(best)), (-F.col(id_col)).alias("id")).alias("__nl_best"))
+    kept = scored.groupBy("__nl_key").agg(F.max("__nl_best").alias("__nl_best")).select((-F.col("__nl_best.id")).alias(id_col))
     return df.join(kept, id_col, "left_semi")
 
 
@@ -32,7 +32,7 @@ def last_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """
     rest = [c for c in df.columns if c not in keys]
     row = F.struct(*order, *(c for c in rest if c not in order))
-    return df.groupBy(*keys).agg(F.max(row).alias("_row")).select(*(F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns))
+    return df.groupBy(*keys).agg(F.max(row).alias("__nl_row")).select(*(F.col(c) if c in keys else F.col(f"__nl_row.{c}").alias(c) for c in df.columns))
 
 
 def either_key(df: DataFrame, keys: list[Column], best: list[Column], id_col: str = "pos", most_rounds: int = 60) -> DataFrame:

@@ -16,9 +16,9 @@ def two_key_match(rows: DataFrame, records: DataFrame, keys: tuple[str, str], or
     """
     joined = rows
     for i, key in enumerate(keys):
-        index = last_per_key(records.where(F.col(key).isNotNull()).select(F.col(key).alias(f"_k{i}"), F.col(order).alias(f"_o{i}"), F.col(value).alias(f"_v{i}")), [f"_k{i}"], [f"_o{i}"])
-        joined = joined.join(index.drop(f"_o{i}"), joined[key] == F.col(f"_k{i}"), "left").drop(f"_k{i}")
-    return joined.withColumn(out, F.coalesce("_v0", "_v1")).drop("_v0", "_v1")
+        index = last_per_key(records.where(F.col(key).isNotNull()).select(F.col(key).alias(f"__nl_k{i}"), F.col(order).alias(f"__nl_o{i}"), F.col(value).alias(f"__nl_v{i}")), [f"__nl_k{i}"], [f"__nl_o{i}"])
+        joined = joined.join(index.drop(f"__nl_o{i}"), joined[key] == F.col(f"__nl_k{i}"), "left").drop(f"__nl_k{i}")
+    return joined.withColumn(out, F.coalesce("__nl_v0", "__nl_v1")).drop("__nl_v0", "__nl_v1")
 
 
 def unseen(rows: DataFrame, records: DataFrame, keys: tuple[str, str]) -> DataFrame:
@@ -35,9 +35,9 @@ def with_retries(current: DataFrame, retries: DataFrame, key: str) -> DataFrame:
 
 def stale(before: DataFrame, after: DataFrame, key: str, value: str) -> DataFrame:
     """Keys of ``before`` whose value after is not greater; one that is missing counts as 0."""
-    b = before.groupBy(key).agg(F.max(value).alias("_before"))
-    a = after.groupBy(key).agg(F.max(value).alias("_after"))
-    return b.join(a, key, "left").where(F.coalesce("_after", F.lit(0)) <= F.coalesce("_before", F.lit(0))).select(key)
+    b = before.groupBy(key).agg(F.max(value).alias("__nl_before"))
+    a = after.groupBy(key).agg(F.max(value).alias("__nl_after"))
+    return b.join(a, key, "left").where(F.coalesce("__nl_after", F.lit(0)) <= F.coalesce("__nl_before", F.lit(0))).select(key)
 
 
 def missing_days(first: Column, last: Column, done: DataFrame, day: str) -> DataFrame:
@@ -53,10 +53,10 @@ def missing_keys(expected: DataFrame, actual: DataFrame, key: str) -> DataFrame:
 
 def changed_fields(before: DataFrame, after: DataFrame, key: str, fields: list[str]) -> DataFrame:
     """(key, field) of each field that differs, nulls told apart; a key on one side only gives the field ''."""
-    a, b = before.select(key, F.struct(*fields).alias("_a")), after.select(key, F.struct(*fields).alias("_b"))
+    a, b = before.select(key, F.struct(*fields).alias("__nl_a")), after.select(key, F.struct(*fields).alias("__nl_b"))
     both = a.join(b, key, "full_outer")
-    one_sided = F.col("_a").isNull() | F.col("_b").isNull()
-    differing = F.array_compact(F.array(*(F.when(~F.col(f"_a.{f}").eqNullSafe(F.col(f"_b.{f}")), F.lit(f)) for f in fields)))
+    one_sided = F.col("__nl_a").isNull() | F.col("__nl_b").isNull()
+    differing = F.array_compact(F.array(*(F.when(~F.col(f"__nl_a.{f}").eqNullSafe(F.col(f"__nl_b.{f}")), F.lit(f)) for f in fields)))
     return both.select(key, F.explode(F.when(one_sided, F.array(F.lit(""))).otherwise(differing)).alias("field"))
 
 
@@ -66,12 +66,12 @@ def upsert_plan(rows: DataFrame, records: DataFrame, keys: tuple[str, str], orde
     ``compared`` maps columns of the rows to those of the records; nulls are equal to one another and to nothing else.
     """
     found = F.struct(F.col(record_id).alias("record_id"), *(F.col(c).alias(f"r{i}") for i, c in enumerate(compared.values())))
-    matched = two_key_match(rows, records.withColumn("_found", found), keys, order, "_found", "_match")
+    matched = two_key_match(rows, records.withColumn("__nl_found", found), keys, order, "__nl_found", "__nl_match")
     same = F.lit(True)
     for i, c in enumerate(compared):
-        same = same & F.col(c).eqNullSafe(F.col(f"_match.r{i}"))
-    action = F.when(F.col("_match").isNull(), "insert").when(same, "unchanged").otherwise("update")
-    return matched.withColumn("record_id", F.col("_match.record_id")).withColumn("action", action).drop("_match")
+        same = same & F.col(c).eqNullSafe(F.col(f"__nl_match.r{i}"))
+    action = F.when(F.col("__nl_match").isNull(), "insert").when(same, "unchanged").otherwise("update")
+    return matched.withColumn("record_id", F.col("__nl_match.record_id")).withColumn("action", action).drop("__nl_match")
 
 
 def write_counts(rows: DataFrame, stored_keys: DataFrame, key: str) -> DataFrame:
