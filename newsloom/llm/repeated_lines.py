@@ -11,6 +11,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.session import spread, stored
+
 _DIGITS = re.compile(r"\d+")
 HASHES = "id long, source string, key long, line_no int"
 #: Documents of a source from which a shared line counts.
@@ -44,7 +46,7 @@ def _hashed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def line_hashes(rows: DataFrame, id_col: str = "pos", source_col: str = "source", text_col: str = "body") -> DataFrame:
     """(id, source, key, line_no) of each line with text."""
     texts = rows.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(source_col), F.lit("")).alias("source"), F.col(text_col).alias("body"))
-    return texts.where("id is not null and body is not null and trim(body) <> ''").mapInPandas(_hashed, HASHES)
+    return spread(texts.where("id is not null and body is not null and trim(body) <> ''")).mapInPandas(_hashed, HASHES)
 
 
 def frequent_keys(hashes: DataFrame, least: int = LEAST_DOCUMENTS, share: float = 0.0) -> DataFrame:
@@ -70,7 +72,7 @@ def find_repeated_lines(rows: DataFrame, id_col: str = "pos", source_col: str =
 
     A line shared by a large part of all rows is counted by partial sums and joined back in ``salts`` parts.
     """
-    hashes = line_hashes(rows, id_col, source_col, text_col)
+    hashes = stored(line_hashes(rows, id_col, source_col, text_col), "lines")
     frequent = frequent_keys(hashes, least).select("key", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
     own = hashes.select("id", "key", "line_no", F.pmod("id", F.lit(salts)).cast("int").alias("salt"))
     return own.join(frequent, ["key", "salt"], "left_semi").select(F.col("id").alias(id_col), "line_no")
