@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm.lines import BLANK, HEADLINE, ITEM, SUBHEAD, TEXT, article_lines, columns
+from newsloom.session import spread, stored
 
 _FLAGS = re.IGNORECASE
 #: Slots of templates that were not filled.
@@ -211,7 +212,7 @@ def find_residue(rows: DataFrame, wide_rows: int = 8, wide_sources: int = 3, sal
     """
     texts = rows.select("origin", F.col("row_key").cast("string").alias("row_key"), F.coalesce("source", F.lit("")).alias("source"), "text")
     texts = texts.where("row_key is not null and text is not null and trim(text) <> ''")
-    cases = texts.mapInPandas(_judged, CASES)
+    cases = stored(spread(texts).mapInPandas(_judged, CASES), "cases")
     seen = cases.groupBy("message", "source").agg(F.count("*").alias("n"), F.max("score").alias("score"))
     messages = seen.groupBy("message").agg(F.sum("n").alias("n"), F.count("*").alias("sources"), F.max("score").alias("score"))
     bad = messages.where((F.col("score") == CERTAIN) | (F.col("n") >= wide_rows) & (F.col("sources") >= wide_sources))
