@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from newsloom.llm.lines import BLANK, article_lines
 from newsloom.llm.residue import CERTAIN, core_of, judge
+from newsloom.session import spread
 
 FOUND = "pos long, line_no int"
 
@@ -44,7 +45,7 @@ def find_foreign_lines(rows: DataFrame, id_col: str = "pos", text_col: str = "bo
     rows give repeated results; extra columns are ignored.
     """
     texts = rows.select(F.col(id_col).cast("long").alias("pos"), F.col(text_col).alias("body")).where("pos is not null and body is not null and trim(body) <> ''")
-    return texts.mapInPandas(_found, FOUND).withColumnRenamed("pos", id_col)
+    return spread(texts).mapInPandas(_found, FOUND).withColumnRenamed("pos", id_col)
 
 
 def _kept(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -55,4 +56,4 @@ def _kept(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def keep_main_text(rows: DataFrame, id_col: str = "pos", text_col: str = "body") -> DataFrame:
     """(id, main_text) of each row: the body with only the lines of the article itself; null for null."""
     texts = rows.select(F.col(id_col).cast("long").alias("pos"), F.col(text_col).alias("body"))
-    return texts.mapInPandas(_kept, "pos long, main_text string").withColumnRenamed("pos", id_col)
+    return spread(texts).mapInPandas(_kept, "pos long, main_text string").withColumnRenamed("pos", id_col)

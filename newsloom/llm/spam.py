@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.session import stored
+from newsloom.session import spread, stored
 
 #: Frequent function words of the languages of the corpus.
 FUNCTION_WORDS = {
@@ -173,7 +173,7 @@ def _measured(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def text_measures(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, language, measures) of each text that is not blank."""
     texts = rows.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return texts.where("doc_id is not null and text is not null and text rlike '\\\\S'").mapInPandas(_measured, FEATURES)
+    return spread(texts.where("doc_id is not null and text is not null and text rlike '\\\\S'")).mapInPandas(_measured, FEATURES)
 
 
 def robust_model(features: DataFrame) -> dict[str, dict[str, np.ndarray]]:

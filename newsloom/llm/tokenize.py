@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.session import spread
+
 #: Folder of the vocabulary files; a parameter of every function that reads one.
 VOCABULARIES = "/opt/tokenizers"
 DEFAULT = "byte_bpe_50k"
@@ -221,4 +223,4 @@ def encode_texts(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             names = [id_col, *(c for c, _ in kept)]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), found], [*names, out])
 
-    return rows.select(id_col, *(c for c, _ in kept), F.col(text_col).alias("_text")).mapInArrow(encode, schema)
+    return spread(rows.select(id_col, *(c for c, _ in kept), F.col(text_col).alias("_text"))).mapInArrow(encode, schema)
