@@ -207,15 +207,16 @@ def find_residue(rows: DataFrame, wide_rows: int = 8, wide_sources: int = 3, sal
     columns are ignored. ``wide_rows`` and ``wide_sources`` are the rows and sources from which a message
     recurs widely. Texts are judged whole.
 
-    Only rows that some rule touches are shuffled, as hashes. Counts are combined before the shuffle; a
-    message that a large part of all rows shares is spread over ``salts`` parts for the join back.
+    Only rows that some rule touches are shuffled, as hashes. Counts are combined before the shuffle; only
+    rows in doubt are joined to their message, a message that many share spread over ``salts`` parts.
     """
     texts = rows.select("origin", F.col("row_key").cast("string").alias("row_key"), F.coalesce("source", F.lit("")).alias("source"), "text")
     texts = texts.where("row_key is not null and text is not null and trim(text) <> ''")
     cases = stored(spread(texts).mapInPandas(_judged, CASES), "cases")
-    seen = cases.groupBy("message", "source").agg(F.count("*").alias("n"), F.max("score").alias("score"))
-    messages = seen.groupBy("message").agg(F.sum("n").alias("n"), F.count("*").alias("sources"), F.max("score").alias("score"))
-    bad = messages.where((F.col("score") == CERTAIN) | (F.col("n") >= wide_rows) & (F.col("sources") >= wide_sources))
+    seen = cases.groupBy("message", "source").agg(F.count("*").alias("n"), F.max("score").alias("most"), F.min("score").alias("least"))
+    messages = seen.groupBy("message").agg(F.sum("n").alias("n"), F.count("*").alias("sources"), F.max("most").alias("most"), F.min("least").alias("least"))
+    bad = messages.where((F.col("least") == WEAK) & ((F.col("most") == CERTAIN) | (F.col("n") >= wide_rows) & (F.col("sources") >= wide_sources)))
     bad = bad.select("message", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    own = cases.withColumn("salt", F.pmod(F.xxhash64("row_key"), F.lit(salts)).cast("int"))
-    return own.join(bad, ["message", "salt"], "left_semi").select("origin", "row_key").distinct()
+    doubtful = cases.where(F.col("score") == WEAK).withColumn("salt", F.pmod(F.xxhash64("row_key"), F.lit(salts)).cast("int"))
+    found = cases.where(F.col("score") == CERTAIN).select("origin", "row_key").unionByName(doubtful.join(bad, ["message", "salt"], "left_semi").select("origin", "row_key"))
+    return found.distinct()
