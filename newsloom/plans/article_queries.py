@@ -251,12 +251,11 @@ def _titles(spark, sf):
 
 
 def titles_repaired(spark, sf):
-    records = _t(spark, sf, "records").where("not coalesce(url_cell, '') like '{%'")
-    return repair_titles(records, _titles(spark, sf)).select("record_id", "title", "repaired")
+    return repair_titles(_t(spark, sf, "records"), _titles(spark, sf)).select("record_id", "title", "repaired")
 
 
 def migration_audit(spark, sf):
-    records = stored(_t(spark, sf, "records").where("not coalesce(url_cell, '') like '{%'"), "records")
+    records = stored(_t(spark, sf, "records"), "records")
     after = repair_titles(records, _titles(spark, sf))
     return audit_migration(records, after, "record_id", [])
 

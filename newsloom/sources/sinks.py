@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.dates import epoch_ms, local_day
-from newsloom.functions.text import normalize_url
+from newsloom.functions.text import cell_text, normalize_url
 from newsloom.operators.matching import changed_fields
 
 _NESTED = ("array", "map", "struct")
@@ -103,10 +103,12 @@ def blank(c: Column) -> Column:
 def repair_titles(records: DataFrame, titles: DataFrame) -> DataFrame:
     """Records with a blank title given the backup title, else that of the same address; repaired telling which.
 
-    ``titles`` has url and title; of several titles of an address the least counts.
+    ``titles`` has url and title; of several titles of an address the least counts. The address of a record
+    is that of its url_cell, which may be plain or JSON with a link.
     """
     known = titles.where(~blank(F.col("title"))).groupBy(normalize_url(F.col("url")).alias("_u")).agg(F.min("title").alias("_found"))
-    joined = records.join(known, normalize_url(F.col("url_cell")) == F.col("_u"), "left")
+    address = normalize_url(F.coalesce(cell_text(F.col("url_cell")), F.col("url_cell")))
+    joined = records.join(known, address == F.col("_u"), "left")
     better = F.coalesce(F.when(~blank(F.col("backup_title")), F.col("backup_title")), F.col("_found"))
     return joined.withColumn("repaired", blank(F.col("title")) & better.isNotNull()).withColumn("title", F.when(F.col("repaired"), better).otherwise(F.col("title"))).drop("_u", "_found")
 
