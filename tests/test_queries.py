@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import json
+from datetime import datetime, timedelta
 
-from newsloom.plans import article_queries
+from newsloom.plans import article_queries, signal_queries
+from newsloom.streaming.recovery import Watch, step
 
 
 def rows(df):
@@ -17,3 +19,22 @@ def test_titles_of_json_cells(spark, tmp_path):
     got = rows(article_queries.titles_repaired(spark, str(tmp_path)))
     assert got == [("1", "F", True), ("2", "B", True), ("3", "T", False), ("4", "F", True), ("5", "", False), ("6", "", False), ("7", "", False)]
     assert rows(article_queries.migration_audit(spark, str(tmp_path))) == [("1", "title"), ("2", "title"), ("4", "title")]
+
+
+def test_recovery_of_all_users(spark, tmp_path):
+    start = datetime(2026, 1, 1)
+    events = [(i, i * 7 % 4 + 8, start + timedelta(hours=i), "error" if i % 3 == 0 else "view") for i in range(60)]
+    spark.createDataFrame(events, "event_id long, user_id long, ts timestamp, event_type string").write.parquet(str(tmp_path / "events.parquet"))
+    watches, expected = {}, []
+    for i, user, ts, kind in events:
+        day = (ts.replace(hour=0) - datetime(1970, 1, 1)) // timedelta(milliseconds=1)
+        action = step(watches.setdefault(user, Watch()), str(user), ts, int(kind != "error"), day if kind != "error" else 0, i % 7 != 0, i % 5 != 0)
+        expected.append((str(user), ts, action, watches[user].phase))
+    got = signal_queries.recovery_states(spark, str(tmp_path)).select("account", "polled_at", "action", "phase")
+    assert rows(got) == sorted(expected, key=str) and len(watches) == 4
+
+
+def test_stale_sources_over_all_rows(spark, tmp_path):
+    data = [("a", 9, 1), ("a", 10, 4), ("b", 3, 2), ("b", 12, 6), ("c", 9, 8), ("c", 10, 7), ("d", 1, 5)]
+    spark.createDataFrame(data, "source string, batch_no int, pos long").write.parquet(str(tmp_path / "articles.parquet"))
+    assert rows(signal_queries.stale_sources(spark, str(tmp_path))) == [("c",), ("d",)]
