@@ -215,8 +215,15 @@ def verdict_status_counts(spark, sf):
 
 
 def record_content_checks(spark, sf):
-    rows = _t(spark, sf, "records").where("content is not null")
-    return rows.select("record_id", summary_problem(F.col("content"), F.col("content"), 80, 300, 3).alias("problem"))
+    """Numbers are checked against the longest article of the record's address, else of its title; a record without an article has nothing to check them against."""
+    numbers = F.array_join(numbers_with_units(F.concat_ws("\n", "title", "body")), "\n")
+    articles = spread(_articles(spark, sf).where("body is not null").select("url", "title", "body"))
+    articles = stored(_with_keys(articles, "url", "title").select("url_key", "title_key", F.struct(F.length("body").alias("n"), numbers.alias("numbers")).alias("known")), "known")
+    longest = lambda k: articles.where(F.col(k).isNotNull()).groupBy(k).agg(F.max("known").alias(f"by_{k}"))
+    rows = stored(_keyed_records(spark, sf).where("content is not null").select("record_id", "content", "url_key", "title_key"), "contents")
+    rows = rows.join(longest("url_key"), "url_key", "left").join(longest("title_key"), "title_key", "left")
+    known = F.coalesce("by_url_key.numbers", "by_title_key.numbers", "content")
+    return rows.select("record_id", summary_problem(F.col("content"), known, 80, 300, 3).alias("problem"))
 
 
 def source_staleness(spark, sf):

@@ -56,7 +56,10 @@ def plain_number_tokens(spark, sf):
 
 
 def signal_summary_checks(spark, sf):
-    known = F.concat_ws("\n", "title", "evidence", "summary_zh")
+    """What a summary may take its numbers from is the title, the time of publication and the evidence."""
+    at = F.col("published_at")
+    parts = F.when(F.unix_micros(at) % 1_000_000 == 0, F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss")).otherwise(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    known = F.concat_ws("\n", F.col("title"), F.concat(parts, F.lit("+00:00")), F.col("evidence"))
     return _signals(spark, sf).select("signal_id", signal_summary_problem(F.col("summary_zh"), known, 20, 150).alias("problem")).distinct()
 
 
