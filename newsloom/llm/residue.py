@@ -2,8 +2,9 @@
 are needed, and notes that content is missing.
 
 Page parts around a text are left aside (lines.py), numbers, addresses and dates are masked, and texts
-that are then the same are one message, counted over all rows and sources. A message is judged once:
-by rules that are certain, or by weaker ones if it recurs widely.
+that are then the same are one message. A text is certain residue by its own rules; the messages of all
+short texts are counted over all rows and sources, and one that recurs widely, or that is certain in some
+row, is residue in every row, whether a rule touches it or not.
 """
 
 from __future__ import annotations
@@ -194,7 +195,7 @@ def _judged(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for origin, key, source, text in zip(f["origin"], f["row_key"], f["source"], f["text"]):
             c = core(text)
             score = judge(c)
-            if score:
+            if score or c.strip() and columns(c) <= MESSAGE_COLUMNS:
                 rows.append((origin, key, source, xxhash.xxh3_64_intdigest(mask(c)) - 2**63, score))
         yield pd.DataFrame(rows, columns=["origin", "row_key", "source", "message", "score"])
 
@@ -207,7 +208,7 @@ def find_residue(rows: DataFrame, wide_rows: int = 8, wide_sources: int = 3, sal
     columns are ignored. ``wide_rows`` and ``wide_sources`` are the rows and sources from which a message
     recurs widely. Texts are judged whole.
 
-    Only rows that some rule touches are shuffled, as hashes. Counts are combined before the shuffle; only
+    Only rows that a rule touches or whose core is short are shuffled, as hashes. Counts are combined before the shuffle; only
     rows in doubt are joined to their message, a message that many share spread over ``salts`` parts.
     """
     texts = rows.select("origin", F.col("row_key").cast("string").alias("row_key"), F.coalesce("source", F.lit("")).alias("source"), "text")
@@ -215,8 +216,8 @@ def find_residue(rows: DataFrame, wide_rows: int = 8, wide_sources: int = 3, sal
     cases = stored(spread(texts).mapInPandas(_judged, CASES), "cases")
     seen = cases.groupBy("message", "source").agg(F.count("*").alias("n"), F.max("score").alias("most"), F.min("score").alias("least"))
     messages = seen.groupBy("message").agg(F.sum("n").alias("n"), F.count("*").alias("sources"), F.max("most").alias("most"), F.min("least").alias("least"))
-    bad = messages.where((F.col("least") == WEAK) & ((F.col("most") == CERTAIN) | (F.col("n") >= wide_rows) & (F.col("sources") >= wide_sources)))
+    bad = messages.where((F.col("least") < CERTAIN) & ((F.col("most") == CERTAIN) | (F.col("n") >= wide_rows) & (F.col("sources") >= wide_sources)))
     bad = bad.select("message", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    doubtful = cases.where(F.col("score") == WEAK).withColumn("salt", F.pmod(F.xxhash64("row_key"), F.lit(salts)).cast("int"))
+    doubtful = cases.where(F.col("score") < CERTAIN).withColumn("salt", F.pmod(F.xxhash64("row_key"), F.lit(salts)).cast("int"))
     found = cases.where(F.col("score") == CERTAIN).select("origin", "row_key").unionByName(doubtful.join(bad, ["message", "salt"], "left_semi").select("origin", "row_key"))
     return found.distinct()
