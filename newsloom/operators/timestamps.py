@@ -59,6 +59,8 @@ class _Classes(dict):
 
 
 _CLASSES = _Classes()
+#: Masks, words and programs that a Python worker remembers; code points that are laid out as one array.
+REMEMBERED, BLOCK = 1 << 16, 1 << 22
 _SIGNS = str.maketrans({"−": "-", "‐": "-", "‑": "-", "–": "-", "—": "-"})
 
 
@@ -67,7 +69,7 @@ def clean(value: str) -> str:
     return " ".join(unicodedata.normalize("NFKC", value).translate(_SIGNS).split())
 
 
-@lru_cache(maxsize=None)
+@lru_cache(maxsize=REMEMBERED)
 def _tokens(mask: str) -> tuple[tuple[str, int, int], ...]:
     """(kind, from, to) with kinds n: number, w: word, z: name of a zone, and signs as they are."""
     found = []
@@ -78,7 +80,7 @@ def _tokens(mask: str) -> tuple[tuple[str, int, int], ...]:
     return tuple(found)
 
 
-@lru_cache(maxsize=None)
+@lru_cache(maxsize=REMEMBERED)
 def _word(word: str) -> tuple[int, int]:
     w = word.lower().replace(".", "")
     if w in HALVES:
@@ -106,7 +108,7 @@ _TIME = re.compile(r"(?:(?P<p>p) ?)?(?:(?P<h>n)[:时](?P<i>n)(?:[:分](?P<s>n)
 _OFFSET = re.compile(r"\(?(?P<o>o)?\)? ?(?:(?P<k>[+-])(?P<u>n)(?::(?P<v>n)(?::n)?)?)? ?(?P<z>Z)?(?: ?\(o\))?")
 
 
-@lru_cache(maxsize=None)
+@lru_cache(maxsize=REMEMBERED)
 def _program(mask: str, kinds: tuple[int, ...], order: str) -> dict[str, int] | None:
     """Which token is which part, for one mask, kinds of its words and order of all-number dates. None: no date."""
     text, at, words = "", [], iter(kinds)
@@ -277,6 +279,27 @@ def _convert(codes: np.ndarray, texts: np.ndarray, mask: str, program: dict, zon
     return utc * 10**6 + part, ok
 
 
+def _parse_block(mask: str, part: np.ndarray, zones: np.ndarray, orders: np.ndarray, rows: np.ndarray, out: np.ndarray, ok: np.ndarray) -> None:
+    """Parses values of one mask and writes their instants into ``out`` and ``ok`` at ``rows``."""
+    codes = np.array(part.tolist(), dtype=f"U{len(mask)}").view(np.uint32).reshape(len(rows), len(mask))
+    kinds, values_of = [], {}
+    for k, (kind, s, e) in enumerate(_tokens(mask)):
+        if kind == "w":
+            words, back = np.unique(np.array([t[s:e] for t in part], dtype=f"U{e - s}"), return_inverse=True)
+            both = np.array([_word(w) for w in words])
+            kinds.append(both[back, 0])
+            values_of[k] = both[back, 1]
+    key = pd.Series(list(zip(*kinds, orders, strict=True)))
+    for each, inside in key.groupby(key).indices.items():
+        each = each if isinstance(each, tuple) else (each,)
+        program = _program(mask, tuple(int(x) for x in each[:-1]), each[-1])
+        if program is None:
+            continue
+        picked = {k: v[inside] for k, v in values_of.items()}
+        instant, exists = _convert(codes[inside], part[inside], mask, program, zones[inside], picked, picked)
+        out[rows[inside]], ok[rows[inside]] = instant, exists
+
+
 def parse_instants(values: list[str | None], zones: list[str | None], orders: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Microseconds since 1970 in UTC of each value, and whether it fixes at least a date.
 
@@ -284,31 +307,17 @@ def parse_instants(values: list[str | None], zones: list[str | None], orders: li
     """
     n = len(values)
     out, ok = np.zeros(n, np.int64), np.zeros(n, bool)
-    texts = np.array([clean(v) if v and len(v) <= 200 else "" for v in values], dtype=object)
+    texts = np.array([clean(v) if v else "" for v in values], dtype=object)
     zone_a = np.array([z or "" for z in zones], dtype=object)
     order_a = np.array([(o or "").strip().lower() for o in orders], dtype=object)
     masks = np.array([t.translate(_CLASSES) for t in texts], dtype=object)
-    for mask, rows in pd.Series(np.arange(n)).groupby(masks).indices.items():
+    for mask, every in pd.Series(np.arange(n)).groupby(masks).indices.items():
         if "9" not in mask:
             continue
-        part = texts[rows]
-        codes = np.array(part.tolist(), dtype=f"U{len(mask)}").view(np.uint32).reshape(len(rows), len(mask))
-        kinds, values_of = [], {}
-        for k, (kind, s, e) in enumerate(_tokens(mask)):
-            if kind == "w":
-                words, back = np.unique(np.array([t[s:e] for t in part], dtype=f"U{e - s}"), return_inverse=True)
-                both = np.array([_word(w) for w in words])
-                kinds.append(both[back, 0])
-                values_of[k] = both[back, 1]
-        key = pd.Series(list(zip(*kinds, order_a[rows], strict=True)))
-        for each, inside in key.groupby(key).indices.items():
-            each = each if isinstance(each, tuple) else (each,)
-            program = _program(mask, tuple(int(x) for x in each[:-1]), each[-1])
-            if program is None:
-                continue
-            picked = {k: v[inside] for k, v in values_of.items()}
-            instant, exists = _convert(codes[inside], part[inside], mask, program, zone_a[rows[inside]], picked, picked)
-            out[rows[inside]], ok[rows[inside]] = instant, exists
+        step = max(1, BLOCK // len(mask))
+        for k in range(0, len(every), step):
+            rows = every[k : k + step]
+            _parse_block(mask, texts[rows], zone_a[rows], order_a[rows], rows, out, ok)
     return out, ok
 
 

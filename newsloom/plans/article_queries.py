@@ -15,7 +15,7 @@ from newsloom.operators.ranking import batches, ranked, round_robin
 from newsloom.operators.reports import body_outcomes, latest, run_totals, source_coverage, staleness, status_counts, table_audit
 from newsloom.operators.rules import admission, is_valuable, score_total, summary_problem, tidy_verdict
 from newsloom.plans import sql as S
-from newsloom.session import spread, stored
+from newsloom.session import dealt, stored
 from newsloom.sources.feeds import first_addresses
 from newsloom.sources.sinks import audit_migration, backfill_days, invalid_after_write, repair_titles
 
@@ -63,11 +63,11 @@ def title_keys(spark, sf):
 
 
 def clean_texts(spark, sf):
-    return spread(_articles(spark, sf).where("body is not null").select("pos", "body")).select("pos", clean_text(F.col("body")).alias("clean"), visible_chars(F.col("body")).alias("chars"))
+    return dealt(_articles(spark, sf).where("body is not null").select("pos", "body")).select("pos", clean_text(F.col("body")).alias("clean"), visible_chars(F.col("body")).alias("chars"))
 
 
 def content_hashes(spark, sf):
-    rows = spread(_articles(spark, sf).where("title is not null and url is not null and body is not null").select("pos", "title", "url", "body"))
+    rows = dealt(_articles(spark, sf).where("title is not null and url is not null and body is not null").select("pos", "title", "url", "body"))
     return rows.select("pos", content_hash(F.col("title"), F.col("url"), F.col("body")).alias("hash"))
 
 
@@ -76,7 +76,7 @@ def number_tokens(spark, sf):
 
 
 def sentence_split(spark, sf):
-    rows = spread(_articles(spark, sf).where("body is not null").select("pos", "body"))
+    rows = dealt(_articles(spark, sf).where("body is not null").select("pos", "body"))
     return rows.select("pos", F.inline(sentences(clean_text(F.col("body")))))
 
 
@@ -108,7 +108,7 @@ def coverage_by_source(spark, sf):
 
 
 def _admitted(spark, sf):
-    rows = spread(_articles(spark, sf).select("pos", "source", "title", "excluded_reason", "body")).withColumn("clean", clean_text(F.coalesce("body", F.lit(""))))
+    rows = dealt(_articles(spark, sf).select("pos", "source", "title", "excluded_reason", "body")).withColumn("clean", clean_text(F.coalesce("body", F.lit(""))))
     return rows.withColumn("a", admission(F.col("title"), F.col("clean"), F.col("excluded_reason"))).select("pos", "source", "a.outcome", "a.reason")
 
 
@@ -217,7 +217,7 @@ def verdict_status_counts(spark, sf):
 def record_content_checks(spark, sf):
     """Numbers are checked against the longest article of the record's address, else of its title; a record without an article has nothing to check them against."""
     numbers = F.array_join(numbers_with_units(F.concat_ws("\n", "title", "body")), "\n")
-    articles = spread(_articles(spark, sf).where("body is not null").select("url", "title", "body"))
+    articles = dealt(_articles(spark, sf).where("body is not null").select("url", "title", "body"))
     articles = stored(_with_keys(articles, "url", "title").select("url_key", "title_key", F.struct(F.length("body").alias("n"), numbers.alias("numbers")).alias("known")), "known")
     longest = lambda k: articles.where(F.col(k).isNotNull()).groupBy(k).agg(F.max("known").alias(f"by_{k}"))
     rows = stored(_keyed_records(spark, sf).where("content is not null").select("record_id", "content", "url_key", "title_key"), "contents")

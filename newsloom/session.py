@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Session setting: partitions that rows are dealt out to before long row work; unset, rows stay where they were read.
+DEAL = "newsloom.deal"
+
 
 def local_session(cores: str = "*", partitions: int = 8, app: str = "newsloom") -> SparkSession:
     """A session for tests and the bench. A cluster brings its own settings."""
@@ -18,25 +22,62 @@ def local_session(cores: str = "*", partitions: int = 8, app: str = "newsloom")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config(DEAL, str(partitions))
         .getOrCreate()
     )
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one where it is unset."""
+    """The folder all executors share: spark.checkpoint.dir. Only a local session may do without the setting, as its
+    one process reads what it writes; it gets a temporary folder. Elsewhere a missing setting is an error."""
     at = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
     if not at:
-        jvm_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        at = jvm_dir.get() if jvm_dir.isDefined() else tempfile.mkdtemp(prefix="newsloom-")
+        jvm_dir = context._jsc.sc().getCheckpointDir()
+        if jvm_dir.isDefined():
+            at = jvm_dir.get()
+        elif context.master == "local" or context.master.startswith("local["):
+            at = tempfile.mkdtemp(prefix="newsloom-")
+        else:
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         spark.conf.set("spark.checkpoint.dir", at)
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(at)
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        context.setCheckpointDir(at)
     return at
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing else uses."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing else uses. What is written there is deleted with the session."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, (spark, []))[1].append(path)
+    return path
+
+
+_written: dict[str, tuple[SparkSession, list[str]]] = {}
+
+
+def drop_stored(spark: SparkSession) -> int:
+    """Deletes what this session's operators wrote to the shared folder, and gives how many paths. Frames that
+    read from there can no longer be used, so this is for when results have been written or collected."""
+    paths = _written.pop(spark.sparkContext.applicationId, (spark, []))[1]
+    for path in paths:
+        _delete(spark, path)
+    return len(paths)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@atexit.register
+def _drop_all() -> None:
+    for spark, _ in list(_written.values()):
+        try:
+            if spark.sparkContext._jsc is not None:
+                drop_stored(spark)
+        except Exception:  # noqa: BLE001 - the session may have ended before the interpreter
+            pass
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -47,17 +88,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-#: Bytes of files for each core below which a table has too few splits to keep all cores busy.
-SMALL_BYTES = 2 << 20
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """The frame as it is, or dealt out to all cores if the files it reads are small for them.
+def dealt(df: DataFrame) -> DataFrame:
+    """The frame dealt out to as many partitions as the session setting ``newsloom.deal`` says, or as it is.
 
-    A small file is one or two splits, which would leave most cores idle while Python works through whole
-    texts. A table above ``SMALL_BYTES`` for each core has splits enough and is not shuffled.
+    For sessions on files of one row group, which is one task however many cores there are. The plan depends
+    on the setting alone, never on the data; tables of many row groups need no setting and no shuffle.
     """
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if size < cores * SMALL_BYTES else df
+    parts = int(df.sparkSession.conf.get(DEAL, "0"))
+    return df.repartition(parts) if parts else df
