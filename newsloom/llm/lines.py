@@ -1,8 +1,9 @@
-"""Lines of web pages: which belong to the article and which are parts of the page around it.
+"""Lines of web pages by line-block distribution: which belong to the article and which to the page around it.
 
-A body is cut at newlines. Each line gets a kind from its form and, where it is no longer than a notice
-can be, from cue phrases. Line-block distribution then finds the article: text lengths are summed over
-sliding windows of lines; the article begins where the sums surge and ends where they dive.
+A body is cut at newlines and markup is stripped. Each line weighs its length in columns as far as its form is
+that of running text; a link, a menu or a row of tags weighs nothing, and a cue phrase takes a notice's length
+off the weight. Weights are summed over sliding windows of lines: the article begins where the sums surge and
+ends where they dive, and whatever lies outside is the page's, whether a cue touches it or not.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ sign in|log in|join the conversation|sort by|leave a comment|\\d+ comments|comme
 related (?:stories|articles|posts)|you may also like|most (?:read|popular)|trending|more from|read (?:more|next|also)|recommended|previous article|next article|back to top|editor'?s picks|don'?t miss
 alle annehmen|ablehnen|einstellungen|.{2,40} verwendet cookies|wir verwenden|ihre privatsphäre|wir und \\d+ partner
 lesezeit|stand: ?\\d|veröffentlicht (?:am )?\\d|aktualisiert|\\d[\\d.,]* (?:mal geteilt|aufrufe|kommentare)|von [^.!?,;]{3,40}$|text: |redaktion: |bericht: |foto: |.{3,40}, redaktion
-anzeige$|gesponsert|werbung
+anzeige$|gesponsert|werbung|bezahlter inhalt
 nachdruck|alle rechte|der beitrag gibt|die genannten|alle angaben|übersetzungen|impressum|datenschutz|marken gehören
 gefällt ihnen|empfehlen sie|teilen sie|jeden morgen|folgen sie|jetzt die app|app laden|abonnieren|artikel teilen|melden sie sich|neu hier|noch kein
 anmelden um|kommentare ?\\(|kommentar schreiben|schreiben sie|neueste zuerst
@@ -102,7 +103,7 @@ def _matcher(block: str) -> tuple[tuple[str, ...], re.Pattern]:
 _START_WORDS, _START = _matcher(START_CUES)
 _INNER_WORDS, _INNER = _matcher(INNER_CUES)
 _HEADING_WORDS, _HEADING = _matcher(LIST_HEADINGS)
-_TAG = re.compile(r"</?[A-Za-z][^<>]{0,2000}>|<!--.{0,2000}?-->")
+_TAG = re.compile(r"</?[A-Za-z][^<>]*>|<!--.*?-->")
 _COMMENT = re.compile(r"(?:@\w{1,20}|(?:用户|网友|读者|游客|匿名)\w{1,20}|(?:user|reader|guest|leser|lector|leitor|usuario|usuário) ?\w{1,20}) ?: ?\S")
 _TAGS = re.compile(r"(?:#[^\s#]+[\s,、]*){2,}|(?:\[[^\[\]]{1,40}\]\s*){2,}|(?:标签|关键词|关键字|话题|tags?|keywords|topics|etiquetas|temas|schlagwörter|themen|palavras-chave|marcadores) ?[:/] ?.*")
 _LINK = re.compile(r"(?:>>|»|▸|→|·(?!\s*·))\s*\S|(?:延伸阅读|相关阅读|推荐阅读|点击查看|上一篇|下一篇|前文|read more|read also|see also|lesen sie auch|lee también|leia também|mehr dazu) ?:? ?[《\"“]?\S")
@@ -110,21 +111,23 @@ _CRUMB = re.compile(r" ?[>»/|] ?")
 _STAMP = re.compile(r"\W*(?:\d{4}[-./年]\d{1,2}[-./月]\d{1,2}日?|\d{1,2}[-./]\d{1,2}[-./]\d{4})\W*(?:\d{1,2}:\d{2})?.{0,40}$")
 _BULLET = re.compile(r"(?:[•*▪◦‣-]\s*|\(?\d{1,2}[、)）.]\s*)(?=\S)")
 _NUMBERED_LINK = re.compile(r"\d{1,2}\.\s")
-_SUBHEAD = re.compile(r"[^:。!?；;]{2,40}: ?[^:]{1,60}(?:与| / )\S.{0,40}$")
 _PARTS = re.compile(r"　+|\s{2,}|\s*[|/>»·丨]\s*")
 _ENDS, _CLOSERS = frozenset("。!?…；;.”\"」』’:！？"), "'”\"」』)）"
 _CLAUSE = re.compile(r"[。!?；;，,]|\. ")
-_NOT_CJK = re.compile(r"[^\u3400-\u9fff\uf900-\ufaff]+")
+_NOT_CJK = re.compile(r"[^㐀-鿿豈-﫿]+")
 _QUOTE = ("“", '"', "「", "『", "«", "„")
 
-TEXT, ITEM, SUBHEAD, HEADLINE, PART, LIST_HEAD, LINK, BLANK = range(8)
-#: A line longer than this is never taken for a page part by cues, in columns (CJK characters count 2).
-NOTICE_COLUMNS = 200
+#: Forms of lines: running text, list item, quotation, unended line, short words beside one another, link, tags and the like.
+TEXT, ITEM, QUOTE, SHORT, MENU, LINK, PART, BLANK = range(8)
+#: Lines of a window.
 WINDOW = 3
-#: Lines over which the article's edge looks for more of it.
-REACH = 10
-#: Columns of text that a window must hold for a surge.
-SURGE_COLUMNS = 110
+#: Columns (CJK characters count 2) that a window must hold for a surge, that a line must weigh to be of the
+#: article's core, and to be its edge if it is no item or quotation.
+SURGE, CORE, EDGE = 150, 100, 80
+#: Lines that may stand between the core and an item, quotation or sentence at its edge.
+GAP = 1
+#: Share of its length that an unended line weighs; share left to a line with a cue, and columns a cue takes off at most.
+UNENDED, FAINT, NOTICE = 0.3, 0.2, 120
 
 
 def plain(line: str) -> str:
@@ -139,46 +142,29 @@ def columns(text: str) -> int:
     return len(text) if text.isascii() else len(text) + len(_NOT_CJK.sub("", text))
 
 
-@lru_cache(maxsize=200_000)
-def read_line(raw: str) -> tuple[str, int, int]:
-    """Plain form, columns and kind of one line as it came."""
-    text = plain(raw)
-    width = columns(text)
-    return text, width, _kind(raw, text, width)
-
-
-def _kind(raw: str, text: str, width: int) -> int:
+def _form(raw: str, text: str, width: int) -> int:
+    """Form of a line; nothing but signs of its make-up counts, no phrase but labels of tags, links and comments."""
     if not text:
         return BLANK
-    ended = _ended(text)
-    if width > NOTICE_COLUMNS:
-        if ended or _CLAUSE.search(text):
-            return TEXT
-        return PART if _TAGS.fullmatch(text.lower()) or _is_menu(raw, text) else TEXT
-    low = text.lower()
-    if low.rstrip(":") in _HEADING_WORDS or _HEADING.fullmatch(low):
-        return LIST_HEAD
+    low, ended = text.lower(), _ended(text)
     if _COMMENT.match(low) or _TAGS.fullmatch(low) or text.endswith(("…", "...")) and _is_crumbs(text):
         return PART
     if _BULLET.match(text):
-        if _inner(low):
-            return PART
-        return HEADLINE if _NUMBERED_LINK.match(text) and not ended else ITEM
+        return LINK if _NUMBERED_LINK.match(text) and not ended else ITEM
     if text[0] in _QUOTE and ended:
-        return TEXT
-    if low.startswith(_START_WORDS) or _START.match(low) or _inner(low):
-        return PART
+        return QUOTE
     if _LINK.match(low):
         return LINK
     if _STAMP.match(text):
         return PART
-    if ":" in text and _SUBHEAD.match(text):
-        return SUBHEAD
     if not ended and _is_menu(raw, text):
-        return PART
-    if ended or width > 60 and _CLAUSE.search(text) and not _looks_titled(text):
-        return TEXT
-    return HEADLINE
+        return MENU
+    return TEXT if ended or width > EDGE and _CLAUSE.search(text) and not _is_headline(text) else SHORT
+
+
+def _is_headline(text: str) -> bool:
+    """An unended line whose clause marks part it in no more than three."""
+    return len(_CLAUSE.findall(text)) <= 2
 
 
 def _is_crumbs(text: str) -> bool:
@@ -192,10 +178,6 @@ def _ended(text: str) -> bool:
     return text[-1] in _ENDS or (text.rstrip(_CLOSERS) or " ")[-1] in _ENDS
 
 
-def _inner(low: str) -> bool:
-    return any(w in low for w in _INNER_WORDS) or _INNER.search(low) is not None
-
-
 def _is_menu(raw: str, text: str) -> bool:
     """Short words beside one another, or one alone."""
     if len(text.split()) <= 3 and columns(text) <= 24 and ":" not in text and not any(c.isdigit() for c in text):
@@ -204,54 +186,85 @@ def _is_menu(raw: str, text: str) -> bool:
     return len(parts) >= 2 and all(columns(p) <= 30 for p in parts) and (len(parts) >= 3 or columns(text) <= 40)
 
 
-def _looks_titled(text: str) -> bool:
-    """A headline has at most one clause mark that parts two halves and none at its end."""
-    return len(_CLAUSE.findall(text)) <= 2
+def is_list_heading(text: str) -> bool:
+    low = text.lower()
+    return low.rstrip(":") in _HEADING_WORDS or _HEADING.fullmatch(low) is not None
 
 
-def article_lines(body: str) -> tuple[list[str], list[int], list[bool]]:
-    """The plain lines of a body, their kinds, and which belong to the article."""
-    read = [read_line(r) if len(r) <= 400 else read_line.__wrapped__(r) for r in body.split("\n")]
-    texts, widths, kinds = ([x[i] for x in read] for i in range(3))
-    shown = [i for i, k in enumerate(kinds) if k != BLANK]
-    in_list = False
-    for i in shown:  # other articles' headlines below a heading, up to the first line that is none
-        k = kinds[i]
-        if k == LIST_HEAD:
-            in_list = True
-        elif in_list and (k == HEADLINE or k == LINK or k == ITEM and _NUMBERED_LINK.match(texts[i])):
-            kinds[i] = LINK
-        elif in_list and k != PART:
-            in_list = False
-    weights = [widths[i] if kinds[i] in (TEXT, ITEM) else 0 for i in shown]
+def has_cue(text: str, form: int) -> bool:
+    """Whether a cue phrase stands at the line's start, or one of the inner ones anywhere (list items: inner ones only)."""
+    low = text.lower()
+    if any(w in low for w in _INNER_WORDS) or _INNER.search(low):
+        return True
+    return form in (TEXT, SHORT, MENU) and (low.startswith(_START_WORDS) or _START.match(low) is not None or is_list_heading(text))
+
+
+@lru_cache(maxsize=200_000)
+def read_line(raw: str) -> tuple[str, int, int, bool]:
+    """Plain form, columns, form of one line as it came, and whether it has a cue."""
+    text = plain(raw)
+    width = columns(text)
+    form = _form(raw, text, width)
+    return text, width, form, form in (TEXT, ITEM, SHORT, MENU) and has_cue(text, form)
+
+
+def read_body(body: str) -> list[tuple[str, int, int, bool]]:
+    """read_line of each line; long lines, which do not come twice, stay out of the cache."""
+    return [read_line(r) if len(r) <= 400 else read_line.__wrapped__(r) for r in body.split("\n")]
+
+
+def weight(width: int, form: int, cue: bool) -> float:
+    """Columns of running text that a line counts for."""
+    if form in (MENU, LINK, PART, BLANK):
+        return 0.0
+    w = width * UNENDED if form == SHORT else float(width)
+    return max(w * FAINT, w - NOTICE) if cue else w
+
+
+def article_lines(lines: list[tuple[str, int, int, bool]], cues: bool = True, windows: bool = True) -> list[bool]:
+    """Which lines of a body (read_body) belong to the article.
+
+    ``cues`` and ``windows`` may be turned off to see what each of them does: without windows every line that
+    weighs anything is the article's.
+    """
+    shown = [i for i, x in enumerate(lines) if x[2] != BLANK]
     n = len(shown)
-    sums = [sum(weights[max(0, j - WINDOW // 2) : j + WINDOW // 2 + 1]) for j in range(n)]
-    high = [j for j in range(n) if sums[j] >= SURGE_COLUMNS and weights[j]]
-    if not high:
-        high = [j for j in range(n) if weights[j]]
-    inside = [False] * len(read)
-    if high:
-        first, last = high[0], high[-1]
-        own = (TEXT, ITEM, SUBHEAD)
-        first = _reach(kinds, shown, first, -1)
-        last = _reach(kinds, shown, last, 1)
-        for j in range(first, last + 1):
-            inside[shown[j]] = kinds[shown[j]] in own
-    return texts, kinds, inside
-
-
-def _reach(kinds: list[int], shown: list[int], at: int, step: int) -> int:
-    """How far the article goes on from one edge of its core: over sub-headings beside it, and to single
-    sentences and list items that only a few lines of page parts keep from it."""
-    j = at
-    while 0 <= j + step < len(shown) and abs(j + step - at) <= REACH:
-        j += step
-        kind = kinds[shown[j]]
-        if kind in (TEXT, ITEM) or kind == SUBHEAD and j == at + step:
+    forms = [lines[i][2] for i in shown]
+    cued = [cues and lines[i][3] for i in shown]
+    own = [weight(lines[i][1], f, c) for i, f, c in zip(shown, forms, cued)]
+    inside = [False] * len(lines)
+    if not windows:
+        for j in range(n):
+            inside[shown[j]] = own[j] > 0 and not (cued[j] and own[j] < EDGE)
+        return inside
+    sums = [sum(own[max(0, j - WINDOW // 2) : j + WINDOW // 2 + 1]) for j in range(n)]
+    surge = min(SURGE, 0.6 * max(sums, default=0.0))
+    steady = [f in (ITEM, QUOTE) and not c for f, c in zip(forms, cued)]
+    core = [j for j in range(n) if sums[j] >= surge and (own[j] >= CORE or steady[j])]
+    core = core or [j for j in range(n) if own[j] > 0 and forms[j] != SHORT and not cued[j]]
+    if not core:
+        return inside
+    first = _edge(core[0], -1, forms, own, cued, steady)
+    last = _edge(core[-1], 1, forms, own, cued, steady)
+    for j in range(first, last + 1):
+        if forms[j] in (PART, LINK) or cued[j] and own[j] < EDGE:
+            continue  # a dip within the article
+        if forms[j] == MENU and not (first < j < last and all(steady[k] or own[k] >= EDGE for k in (j - 1, j + 1))):
+            continue  # words alone are a sub-heading only between two blocks of text
+        inside[shown[j]] = True
+    return inside
+
+
+def _edge(at: int, step: int, forms: list[int], own: list[float], cued: list[bool], steady: list[bool]) -> int:
+    """Where the article ends on one side of its core: items, quotations and sentences go on with it, and a
+    sub-heading that has text on its other side."""
+    j, gap = at + step, 0
+    while 0 <= j < len(forms) and gap <= GAP:
+        if steady[j] or forms[j] == TEXT and own[j] >= EDGE:
+            at, gap = j, 0
+        elif forms[j] == SHORT and not cued[j] and gap == 0 and 0 <= j + step < len(forms) and own[j + step] >= EDGE:
             at = j
+        else:
+            gap += 1
+        j += step
     return at
-
-
-@lru_cache(maxsize=1)
-def kind_names() -> list[str]:
-    return "text item subhead headline part list_head link blank".split()

@@ -8,22 +8,23 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.lines import BLANK, article_lines
-from newsloom.llm.residue import CERTAIN, core_of, judge
-from newsloom.session import spread
+from newsloom.llm.lines import BLANK, article_lines, read_body
+from newsloom.llm.residue import SURE, core_of, evidence
+from newsloom.session import dealt
 
 FOUND = "pos long, line_no int"
 
 
-def foreign_lines(body: str) -> list[int]:
+def foreign_lines(body: str, cues: bool = True, windows: bool = True) -> list[int]:
     """Numbers, from 1 and counting blank lines, of the non-blank lines that are not the article's own.
 
-    In a body without real content every non-blank line counts; a blank body has none.
+    In a body without real content every non-blank line counts; a blank body has none. ``cues`` and
+    ``windows`` are those of ``article_lines``.
     """
-    texts, kinds, inside = article_lines(body)
-    if judge(core_of(texts, kinds)) == CERTAIN:
-        return [i for i, k in enumerate(kinds, 1) if k != BLANK]
-    return [i for i, (k, own) in enumerate(zip(kinds, inside), 1) if k != BLANK and not own]
+    lines = read_body(body)
+    if evidence(core_of(lines)) >= SURE:
+        return [i for i, x in enumerate(lines, 1) if x[2] != BLANK]
+    return [i for i, (x, own) in enumerate(zip(lines, article_lines(lines, cues, windows)), 1) if x[2] != BLANK and not own]
 
 
 def main_text(body: str) -> str:
@@ -45,7 +46,7 @@ def find_foreign_lines(rows: DataFrame, id_col: str = "pos", text_col: str = "bo
     rows give repeated results; extra columns are ignored.
     """
     texts = rows.select(F.col(id_col).cast("long").alias("pos"), F.col(text_col).alias("body")).where("pos is not null and body is not null and trim(body) <> ''")
-    return spread(texts).mapInPandas(_found, FOUND).withColumnRenamed("pos", id_col)
+    return dealt(texts).mapInPandas(_found, FOUND).withColumnRenamed("pos", id_col)
 
 
 def _kept(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -56,4 +57,4 @@ def _kept(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def keep_main_text(rows: DataFrame, id_col: str = "pos", text_col: str = "body") -> DataFrame:
     """(id, main_text) of each row: the body with only the lines of the article itself; null for null."""
     texts = rows.select(F.col(id_col).cast("long").alias("pos"), F.col(text_col).alias("body"))
-    return spread(texts).mapInPandas(_kept, "pos long, main_text string").withColumnRenamed("pos", id_col)
+    return dealt(texts).mapInPandas(_kept, "pos long, main_text string").withColumnRenamed("pos", id_col)

@@ -17,10 +17,12 @@ def token_sizes(documents: DataFrame, name: str = DEFAULT, folder: str = VOCABUL
     return encode_texts(documents.where("doc_id is not null and source is not null and text is not null"), name=name, folder=folder, counts_only=True, keep=("source",)).where("n_tokens > 0")
 
 
-def plan_shares(sizes: DataFrame, targets: DataFrame, total_tokens: float | None = None) -> DataFrame:
+def plan_shares(sizes: DataFrame, targets: DataFrame, total_tokens: float | str | None = None) -> DataFrame:
     """One row for each source of ``targets``: what it has, what it should give, and copies expected of each document.
 
-    Without ``total_tokens`` the mixture is the largest in which no source that has documents falls short.
+    Without ``total_tokens`` the mixture is the largest in which no source that has documents falls short. A number
+    is the size that is wanted, and "listed" wants as many tokens as the listed sources have; sources then fall
+    short where even all their documents, repeated as often as is allowed, do not give their share.
     A source listed twice counts once, with its greatest share; a share or cap that is null, or not above
     0, gives nothing.
     """
@@ -30,13 +32,17 @@ def plan_shares(sizes: DataFrame, targets: DataFrame, total_tokens: float | None
     plan = wanted.join(there, "source", "left").fillna(0, ["documents", "tokens"])
     usable = (F.col("tokens") > 0) & (F.col("target_share") > 0) & (F.col("max_repeats") > 0)
     fits = F.when(usable, F.col("max_repeats") * F.col("tokens") / F.col("target_share"))
-    whole = F.lit(float(total_tokens)) if total_tokens is not None else F.min(fits).over(Window.partitionBy(F.lit(1)))  # a window over the listed sources only
+    listed = Window.partitionBy(F.lit(1))  # a window over the listed sources only
+    if total_tokens is None:
+        whole = F.min(fits).over(listed)
+    else:
+        whole = F.sum("tokens").over(listed).cast("double") if total_tokens == "listed" else F.lit(float(total_tokens))
     plan = plan.withColumn("planned_total", F.coalesce(whole, F.lit(0.0)))
     rate = F.when(usable, F.least(F.col("max_repeats").cast("double"), F.col("target_share") * F.col("planned_total") / F.col("tokens"))).otherwise(0.0)
     return plan.withColumn("rate", rate)
 
 
-def mix(sizes: DataFrame, targets: DataFrame, total_tokens: float | None = None, seed: int = 7, chunk_rows: int = CHUNK_ROWS) -> tuple[DataFrame, DataFrame]:
+def mix(sizes: DataFrame, targets: DataFrame, total_tokens: float | str | None = None, seed: int = 7, chunk_rows: int = CHUNK_ROWS) -> tuple[DataFrame, DataFrame]:
     """(doc_id, source, n_tokens, copy_no) of the mixture, and the report of each source's share.
 
     Systematic sampling: each document of a source expects ``rate`` copies; these are summed up along the

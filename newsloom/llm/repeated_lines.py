@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.session import spread, stored
+from newsloom.session import dealt, stored
 
 _DIGITS = re.compile(r"\d+")
 HASHES = "id long, source string, key long, line_no int"
@@ -46,7 +46,7 @@ def _hashed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def line_hashes(rows: DataFrame, id_col: str = "pos", source_col: str = "source", text_col: str = "body") -> DataFrame:
     """(id, source, key, line_no) of each line with text."""
     texts = rows.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(source_col), F.lit("")).alias("source"), F.col(text_col).alias("body"))
-    return spread(texts.where("id is not null and body is not null and trim(body) <> ''")).mapInPandas(_hashed, HASHES)
+    return dealt(texts.where("id is not null and body is not null and trim(body) <> ''")).mapInPandas(_hashed, HASHES)
 
 
 def frequent_keys(hashes: DataFrame, least: int = LEAST_DOCUMENTS, share: float = 0.0) -> DataFrame:
@@ -63,8 +63,9 @@ def frequent_keys(hashes: DataFrame, least: int = LEAST_DOCUMENTS, share: float
     return counts.select("key", "documents")
 
 
-def find_repeated_lines(rows: DataFrame, id_col: str = "pos", source_col: str = "source", text_col: str = "body", least: int = LEAST_DOCUMENTS, salts: int = 16) -> DataFrame:
-    """(id, line_no) of each line that occurs in at least ``least`` documents of the same source.
+def find_repeated_lines(rows: DataFrame, id_col: str = "pos", source_col: str = "source", text_col: str = "body", least: int = LEAST_DOCUMENTS, share: float = 0.0, salts: int = 16) -> DataFrame:
+    """(id, line_no) of each line that occurs in at least ``least`` documents of the same source, and in at least
+    ``share`` of all its documents that have a line with text.
 
     Documents are told apart by id; lines are the same if equal after ``normal_line``. Null and blank texts
     and null ids have no rows; a null source is a source of its own; repeated rows of one id count once
@@ -73,8 +74,8 @@ def find_repeated_lines(rows: DataFrame, id_col: str = "pos", source_col: str =
     A line shared by a large part of all rows is counted by partial sums and joined back in ``salts`` parts.
     """
     hashes = stored(line_hashes(rows, id_col, source_col, text_col), "lines")
-    frequent = frequent_keys(hashes, least).select("key", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    own = hashes.select("id", "key", "line_no", F.pmod("id", F.lit(salts)).cast("int").alias("salt"))
+    frequent = frequent_keys(hashes, least, share).select("key", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    own = hashes.select("id", "key", "line_no", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int").alias("salt"))
     return own.join(frequent, ["key", "salt"], "left_semi").select(F.col("id").alias(id_col), "line_no")
 
 
@@ -87,8 +88,8 @@ def _rebuilt(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"id": f["id"], "clean_text": texts})
 
 
-def drop_repeated_lines(rows: DataFrame, id_col: str = "pos", source_col: str = "source", text_col: str = "body", least: int = LEAST_DOCUMENTS) -> DataFrame:
+def drop_repeated_lines(rows: DataFrame, id_col: str = "pos", source_col: str = "source", text_col: str = "body", least: int = LEAST_DOCUMENTS, share: float = 0.0) -> DataFrame:
     """(id, clean_text): each document rebuilt without the lines repeated within its source. Null texts stay null."""
-    found = find_repeated_lines(rows, id_col, source_col, text_col, least).groupBy(id_col).agg(F.collect_set("line_no").alias("drop"))
+    found = find_repeated_lines(rows, id_col, source_col, text_col, least, share).groupBy(id_col).agg(F.collect_set("line_no").alias("drop"))
     joined = rows.select(F.col(id_col), F.col(text_col).alias("body")).join(found, id_col, "left")
     return joined.select(F.col(id_col).alias("id"), "body", "drop").mapInPandas(_rebuilt, "id long, clean_text string").withColumnRenamed("id", id_col)

@@ -1,10 +1,11 @@
 """Texts without content: unfilled templates, filler, error and blocking messages, notices that scripts
 are needed, and notes that content is missing.
 
-Page parts around a text are left aside (lines.py), numbers, addresses and dates are masked, and texts
-that are then the same are one message. A text is certain residue by its own rules; the messages of all
-short texts are counted over all rows and sources, and one that recurs widely, or that is certain in some
-row, is residue in every row, whether a rule touches it or not.
+Page parts around a text are left aside (lines.py); slots, numbers, addresses, dates and titles are masked,
+and units that repeat are taken once: texts that are then the same are one message. Every text is hashed and
+counted by message over all rows and sources. A message is classified once, by its counts and by the evidence
+of phrase and placeholder rules: one that recurs widely needs little evidence, a rare one must be residue for
+the most part of its length.
 """
 
 from __future__ import annotations
@@ -18,16 +19,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.lines import BLANK, HEADLINE, ITEM, SUBHEAD, TEXT, article_lines, columns
-from newsloom.session import spread, stored
+from newsloom.llm.lines import ITEM, LINK, MENU, QUOTE, SHORT, TEXT, columns, is_list_heading, read_body
+from newsloom.session import dealt, stored
 
 _FLAGS = re.IGNORECASE
 #: Slots of templates that were not filled.
 SLOTS = [
-    r"\$\{[^{}\n]{0,120}\}", r"#\{[^{}\n]{0,120}\}", r"\{\{[^{}\n]{0,120}\}\}", r"\{%[^%\n]{0,120}%\}", r"<%[^%\n]{0,120}%>",
-    r"\[\[[^\[\]\n]{0,120}\]\]", r"【\s*\[\[[^】\n]{0,120}\]\]\s*】", r"__\w[\w.-]{0,80}?__", r"%[A-Za-z_][\w.-]{2,60}%", r"@@[\w.-]{1,60}@@",
-    r"【(?:待填|待补|占位|插入|填写|此处)[^】\n]{0,120}】", r"\[(?:insert|your|placeholder|summary|title|name|body|content|date|author|tbd|todo)\b[^\[\]\n]{0,120}\]",
-    r"\[(?:在此|请在此|此处|待|插入|填写)[^\[\]\n]{0,60}\]", r"<(?:核心内容|正文|标题|摘要|内容)>", r"\{[A-Za-z_][\w.-]{1,60}\}", r"<(?:insert|your|placeholder)[^<>\n]{0,60}>",
+    r"\$\{[^{}\n]*\}", r"#\{[^{}\n]*\}", r"\{\{[^{}\n]*\}\}", r"\{%[^%\n]*%\}", r"<%[^%\n]*%>",
+    r"\[\[[^\[\]\n]*\]\]", r"【\s*\[\[[^】\n]*\]\]\s*】", r"__\w[\w.-]*?__", r"%[A-Za-z_][\w.-]+%", r"@@[\w.-]+@@",
+    r"【(?:待填|待补|占位|插入|填写|此处)[^】\n]*】", r"\[(?:insert|your|placeholder|summary|title|name|body|content|date|author|tbd|todo)\b[^\[\]\n]*\]",
+    r"\[(?:在此|请在此|此处|待|插入|填写)[^\[\]\n]*\]", r"<(?:核心内容|正文|标题|摘要|内容)>", r"\{[A-Za-z_][\w.-]+\}", r"<(?:insert|your|placeholder)[^<>\n]*>",
     r"\b_{4,}", r"(?<!\S)(?:X{3,}|x{3,})(?!\S)", r"[:：]\s*(?:X{3,}|…{2,})",
 ]
 #: What programs print for a value that is not there.
@@ -65,38 +66,65 @@ _WEAK = re.compile(WEAK_WORDS, _FLAGS)
 _UNITS = re.compile(r"(?<=[。!?！？])|(?<=[.])\s+|\n|[;；]\s*")
 _URL = re.compile(r"(?:https?://|www\.)\S+|\b[\w-]+(?:\.[\w-]+)*\.(?:com|net|org|cn|io|example)\w*(?:/[\w./?=&%#~+-]*)?", _FLAGS)
 _DATE = re.compile(r"\d{4}[-/.年]\d{1,2}[-/.月]\d{1,2}日?|\d{1,2}[-/.]\d{1,2}[-/.]\d{4}|\d{1,2}:\d{2}(?::\d{2})?")
-_TITLE = re.compile(r"《[^《》\n]{1,200}》|\"[^\"\n]{1,200}\"|“[^”\n]{1,200}”")
-_IDS = re.compile(r"\b(?=[a-z]*\d)[a-z\d]{2,40}\b|\d+(?:[.,]\d+)*", _FLAGS)
-_LABEL = re.compile(r"[\w.-]{1,60} ?[:：=]")
+_TITLE = re.compile(r"《[^《》\n]+》|\"[^\"\n]+\"|“[^”\n]+”")
+_IDS = re.compile(r"(?<![a-z])(?=[a-z]*\d)[a-z\d]{2,}(?![a-z])|\d+(?:[.,]\d+)*", _FLAGS | re.ASCII)
+_LABEL = re.compile(r"[\w.-]+ ?[:：=]")
 _MARK = re.compile(r"‹\w›|[\W_]+")
 _WORD = re.compile(r"[^\W\d_]+")
 _RUN = re.compile(r"([^\W\d_])\1{4,}")
-_GAP = re.compile(r"(?<=[\u4e00-\u9fff]) (?=[\u4e00-\u9fff])|(?:^|[ ,(（])[,.:;)）](?!\.)|\( ?\)|(?<=\w) [,.;:](?= |$|[^\W\d])")
+_PERIOD = re.compile(r"(.{1,24}?)\1{4,}")
+_GAP = re.compile(r"(?<=[一-鿿]) (?=[一-鿿])|(?:^|[ ,(（])[,.:;)）](?!\.)|\( ?\)|(?<=\w) [,.;:](?= |$|[^\W\d])")
+_STEMS = tuple(FILLER_STEMS)
+_RULE_SIGNS = frozenset("-=_*.#~")
+_OPENERS = ("${", "#{", "{", "<%", "[", "__", "@@", "【", "<核心", "<正文", "<标题", "<摘要", "<内容", "<in", "<yo", "<pl", "XXX", "xxx", ": …", "：…")
+_NULL_SIGNS = ("object", "undefined", "null", "none", "nan", "n/a", "nil", "tbd", "todo", "待", "暂无")
+_PERCENT = re.compile(r"%[A-Za-z_]")
 
-#: A text longer than this, in columns, is content unless it is slots or filler.
-MESSAGE_COLUMNS = 700
-NONE, WEAK, CERTAIN = 0, 1, 2
+#: Evidence from which a message is residue by itself, and from which it is if it recurs widely.
+SURE, LITTLE = 0.5, 0.05
+#: Sentences up to which a widely recurring message needs no evidence at all: an article says more.
+CURT = 2
 
 
 def mask(text: str) -> str:
-    """The text with titles, addresses, dates, numbers and codes masked, lower case, single spaces."""
+    """The text with slots, titles, addresses, dates, numbers and codes masked, lower case, single spaces."""
+    for slot in _slots(text):
+        text = text.replace(slot, "‹s›")
     text = _TITLE.sub("‹t›", text)
     text = _URL.sub("‹u›", text)
     text = _DATE.sub("‹d›", text)
     return " ".join(_IDS.sub("‹n›", text).lower().split())
 
 
+def message(text: str) -> str:
+    """What the rows of one message share: its masked units, each once, in order."""
+    units = (" ".join(dict.fromkeys(mask(u).split(" "))) if "‹s›" in mask(u) else mask(u) for u in _units(text))
+    return "\n".join(dict.fromkeys(u for u in units if u))
+
+
+def _units(text: str) -> list[str]:
+    return [u.strip() for u in _UNITS.split(text) if u and u.strip()]
+
+
 def core(body: str) -> str:
     """What is left of a body without the parts of the page around it, a line each."""
-    texts, kinds, _ = article_lines(body)
-    return core_of(texts, kinds)
+    return core_of(read_body(body))
 
 
-def core_of(texts: list[str], kinds: list[int]) -> str:
-    """The same from lines that are read already."""
-    said = [k != BLANK and len(t) <= MESSAGE_COLUMNS and _says(t) for t, k in zip(texts, kinds)]
-    own = (TEXT, ITEM, SUBHEAD) if any(said) else (TEXT, ITEM, SUBHEAD, HEADLINE)
-    return "\n".join(t for t, k, s in zip(texts, kinds, said) if s or k in own)
+def core_of(lines: list[tuple[str, int, int, bool]]) -> str:
+    """The same from lines that are read already: lines that are residue by themselves, and what is text without a
+    cue; headlines only if no line is residue, and not those below the heading of a list of other articles."""
+    said = [bool(t) and _says(t) for t, _, _, _ in lines]
+    own = (TEXT, ITEM, QUOTE) if any(said) else (TEXT, ITEM, QUOTE, SHORT)
+    kept, listed = [], False
+    for (text, _, form, cue), s in zip(lines, said):
+        if text and is_list_heading(text):
+            listed = True
+        elif listed and form not in (SHORT, LINK, MENU):
+            listed = False
+        if s or form in own and not cue and not (listed and form == SHORT):
+            kept.append(text)
+    return "\n".join(kept)
 
 
 def _slots(text: str) -> list[str]:
@@ -124,12 +152,7 @@ def _is_null(text: str) -> bool:
     if not any(w in low for w in _NULL_SIGNS) or not _NULL.search(text):
         return False
     rest = _MARK.sub("", mask(_NULL.sub("", _LABEL.sub("", text))))
-    return not rest or columns(rest) <= 14 and columns(text) <= 80
-
-
-def _gaps(text: str) -> int:
-    """Places where a value was filled in as nothing."""
-    return len(_GAP.findall(text))
+    return columns(rest) <= 0.25 * columns(text)
 
 
 def _stems(text: str) -> bool:
@@ -139,54 +162,51 @@ def _stems(text: str) -> bool:
 
 
 def _is_filler(text: str) -> bool:
+    """Words of filler for the most part, or runs of one repeated sign or phrase, rules of signs aside."""
     if columns(text) < 1.5 * len(text) and _stems(text):
         words = _WORD.findall(text.lower())
         if len(words) >= 8 and sum(w.startswith(_STEMS) for w in words) >= 0.5 * len(words):
             return True
     tight = "".join(text.split())
-    if len(tight) >= 12 and _RUN.search(tight) and sum(len(m[0]) for m in _RUN.finditer(tight)) >= 0.55 * len(tight):
-        return True
-    m = _PERIODIC.match(tight)
-    if not m or len(set(m[1]) - set("-=_*.#~")) == 0:
+    if len(tight) < 12:
         return False
-    return tight.count(m[1]) * len(m[1]) >= 0.5 * len(tight)
-
-
-_STEMS = tuple(FILLER_STEMS)
-_PERIODIC = re.compile(r".{0,80}?(.{1,12}?)\1{4,}")
-_OPENERS = ("${", "#{", "{", "<%", "[", "__", "@@", "【", "<核心", "<正文", "<标题", "<摘要", "<内容", "<in", "<yo", "<pl", "XXX", "xxx", ": …", "：…")
-_NULL_SIGNS = ("object", "undefined", "null", "none", "nan", "n/a", "nil", "tbd", "todo", "待", "暂无")
-_PERCENT = re.compile(r"%[A-Za-z_]")
+    if _RUN.search(tight) and sum(len(m[0]) for m in _RUN.finditer(tight)) >= 0.55 * len(tight):
+        return True
+    return sum(len(m[0]) for m in _PERIOD.finditer(tight) if not _RULE_SIGNS.issuperset(m[1])) >= 0.5 * len(tight)
 
 
-def judge(text: str) -> int:
-    """CERTAIN if the core text is no content by itself, WEAK if it is none should it recur widely, else NONE.
+def evidence(text: str) -> float:
+    """Share of a core text, 0 to 1, that phrase and placeholder rules take for residue; a whole one from SURE on.
 
-    An empty text is NONE: nothing that is there says that content is missing.
+    An empty text has 0: nothing that is there says that content is missing.
     """
     if not text.strip():
-        return NONE
+        return 0.0
     width = columns(text)
+    found = 0.0
     slots = _slots(text)
     if slots:
         taken = sum(map(columns, slots))
-        if taken >= 0.3 * width or len(slots) * 45 >= width - taken:
-            return CERTAIN
-    if width <= MESSAGE_COLUMNS and _is_null(text) or _is_filler(text):
-        return CERTAIN
-    if width > MESSAGE_COLUMNS:
-        return NONE
-    if width <= 240 and _gaps(text) * 30 >= width:
-        return CERTAIN
-    units = [u.strip() for u in _UNITS.split(text) if u and u.strip()]
-    stems = _stems(text)
-    hit = sum(columns(u) for u in units if _is_message(u) or stems and _is_filler(u))
-    if hit >= 0.5 * width:
-        return CERTAIN
-    return WEAK if hit or width <= 200 and _WEAK.search(text) else NONE
+        found = max(taken / (0.6 * width), len(slots) * 45 / (2 * max(1, width - taken)))
+    if found < SURE and (_is_null(text) or _is_filler(text)):
+        found = 1.0
+    if found < SURE:
+        found = max(found, len(_GAP.findall(text)) * 15 / width)
+    if found < SURE:
+        stems = _stems(text)
+        hit = sum(columns(u) for u in _units(text) if _is_message(u) or stems and _is_filler(u))
+        found = max(found, hit / width)
+    return min(1.0, found)
+
+
+def classify(share: float, units: int, hint: bool, rows: int, sources: int, wide_rows: int, wide_sources: int) -> bool:
+    """Whether a message is residue: for the most part by the rules, or recurring widely with some evidence, with a
+    word that programs use, or in so few sentences that it is no article."""
+    wide = rows >= wide_rows and sources >= wide_sources
+    return share >= SURE or wide and (share >= LITTLE or hint or units <= CURT)
 
 
-CASES = "origin string, row_key string, source string, message long, score int"
+CASES = "origin string, row_key string, source string, message long, share float, units int, hint boolean"
 
 
 def _judged(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -194,10 +214,10 @@ def _judged(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for origin, key, source, text in zip(f["origin"], f["row_key"], f["source"], f["text"]):
             c = core(text)
-            score = judge(c)
-            if score or c.strip() and columns(c) <= MESSAGE_COLUMNS:
-                rows.append((origin, key, source, xxhash.xxh3_64_intdigest(mask(c)) - 2**63, score))
-        yield pd.DataFrame(rows, columns=["origin", "row_key", "source", "message", "score"])
+            if c.strip():
+                m = message(c)
+                rows.append((origin, key, source, xxhash.xxh3_64_intdigest(m) - 2**63, evidence(c), m.count("\n") + 1, _WEAK.search(m) is not None))
+        yield pd.DataFrame(rows, columns=["origin", "row_key", "source", "message", "share", "units", "hint"]).astype({"share": "float32", "units": "int32", "hint": "bool"})
 
 
 def find_residue(rows: DataFrame, wide_rows: int = 8, wide_sources: int = 3, salts: int = 16) -> DataFrame:
@@ -206,18 +226,19 @@ def find_residue(rows: DataFrame, wide_rows: int = 8, wide_sources: int = 3, sal
     ``rows`` has origin, row_key, source and text. Null, empty and blank texts are no case; a null row_key
     gives no row, a null source counts as one source; repeated rows with the same key give one row. Extra
     columns are ignored. ``wide_rows`` and ``wide_sources`` are the rows and sources from which a message
-    recurs widely. Texts are judged whole.
+    recurs widely. Texts are read whole.
 
-    Only rows that a rule touches or whose core is short are shuffled, as hashes. Counts are combined before the shuffle; only
-    rows in doubt are joined to their message, a message that many share spread over ``salts`` parts.
+    Every text is masked and hashed; only hashes and measures are kept and shuffled. Counts are combined
+    before the shuffle, each message is classified once (``classify``, as an expression), and all rows come out
+    through the join with the messages that are residue, a message that many share spread over ``salts`` parts.
     """
     texts = rows.select("origin", F.col("row_key").cast("string").alias("row_key"), F.coalesce("source", F.lit("")).alias("source"), "text")
     texts = texts.where("row_key is not null and text is not null and trim(text) <> ''")
-    cases = stored(spread(texts).mapInPandas(_judged, CASES), "cases")
-    seen = cases.groupBy("message", "source").agg(F.count("*").alias("n"), F.max("score").alias("most"), F.min("score").alias("least"))
-    messages = seen.groupBy("message").agg(F.sum("n").alias("n"), F.count("*").alias("sources"), F.max("most").alias("most"), F.min("least").alias("least"))
-    bad = messages.where((F.col("least") < CERTAIN) & ((F.col("most") == CERTAIN) | (F.col("n") >= wide_rows) & (F.col("sources") >= wide_sources)))
+    cases = stored(dealt(texts).mapInPandas(_judged, CASES), "cases")
+    seen = cases.groupBy("message", "source").agg(F.count("*").alias("n"), F.max("share").alias("share"), F.min("units").alias("units"), F.bool_or("hint").alias("hint"))
+    messages = seen.groupBy("message").agg(F.sum("n").alias("n"), F.count("*").alias("sources"), F.max("share").alias("share"), F.min("units").alias("units"), F.bool_or("hint").alias("hint"))
+    wide = (F.col("n") >= wide_rows) & (F.col("sources") >= wide_sources)
+    bad = messages.where((F.col("share") >= SURE) | wide & ((F.col("share") >= LITTLE) | F.col("hint") | (F.col("units") <= CURT)))
     bad = bad.select("message", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    doubtful = cases.where(F.col("score") < CERTAIN).withColumn("salt", F.pmod(F.xxhash64("row_key"), F.lit(salts)).cast("int"))
-    found = cases.where(F.col("score") == CERTAIN).select("origin", "row_key").unionByName(doubtful.join(bad, ["message", "salt"], "left_semi").select("origin", "row_key"))
-    return found.distinct()
+    salted = cases.select("origin", "row_key", "message", F.pmod(F.xxhash64("row_key"), F.lit(salts)).cast("int").alias("salt"))
+    return salted.join(bad, ["message", "salt"], "left_semi").select("origin", "row_key").distinct()

@@ -1,17 +1,16 @@
 """Pages of repeated keywords, links or tags.
 
-Each text is measured whole: densities of links, tags and sentences, concentration and entropy of its words,
-and its share of function words. Within a language, location and scale of each measure are robust (median and
-median deviation over all texts) and the scatter is that of clipped deviations; a text that lies far out by
-Mahalanobis distance, in the direction in which spam lies, is a candidate. Last, most of the candidate must
-really be repetition, links or tags.
+Each text is measured whole: densities of links, tags and prose, repetition, concentration and entropy of its
+words, and its share of function words. Within a language, location and scale of each measure are robust
+(median and median deviation over all texts) and the scatter is that of the texts near the middle. A text is
+spam if it lies far out by Mahalanobis distance and in the direction in which spam lies; no rule beside the two
+decides.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.session import spread, stored
+from newsloom.session import dealt, stored
 
 #: Frequent function words of the languages of the corpus.
 FUNCTION_WORDS = {
@@ -31,14 +30,14 @@ FUNCTION_WORDS = {
 #: Function characters of Chinese.
 FUNCTION_HAN = "的了在是和与把被就都而也很但因为这那从对以及到让给向将其之里中上下个一不没有用据如若则或者并且更已需要往比"
 #: Measures, and the direction in which spam lies: 1 above, -1 below the usual.
-MEASURES = {"link_share": 1, "tag_share": 1, "bad_share": 1, "function_share": -1, "concentration": 1, "entropy": -1, "sentence_share": -1}
+MEASURES = {"link_share": 1, "tag_share": 1, "repetition": 1, "function_share": -1, "concentration": 1, "entropy": -1, "prose_share": -1}
 _NAMES = list(MEASURES)
 #: Squared distance, in 7 dimensions, that 0.1 % of usual texts exceed; least projection on the spam direction.
-FAR, TOWARDS = 24.3, 1.5
-#: Deviation up to which a text counts for the scatter; weight of independent measures in it.
-NEAR, SHRINK = 3.5, 0.3
-#: Share of a text that must be repetition, links or tags.
-MOSTLY = 0.5
+FAR, TOWARDS = 24.3, 5.8
+#: Deviation up to which a text counts for the scatter; weight of independent measures in it; bound of a deviation.
+NEAR, SHRINK, MOST = 3.5, 0.3, 30.0
+#: Function words in a sentence from which it is whole prose, as one in so many words.
+PROSE_WORDS = 8
 
 _URL = re.compile(r"(?:https?://|www\.)[^\s<>\"'，。、）)]+|<a\s[^>]*>|</a>|<br\s*/?>", re.IGNORECASE)
 _ANCHOR = re.compile(r"<a\s[^>]*>.*?</a>", re.IGNORECASE | re.DOTALL)
@@ -46,119 +45,90 @@ _CODE = re.compile(r"(?<!\w)(?:[A-Z]{2,6}|货号|型号|编号)[-_ ]?\d{3,}", re
 _CUT = re.compile(r"(?<=[。！？!?；;])|(?<=[a-zäöüßáéíóúñçãõâê%\d][.])\s+|\n")
 _TOKEN = re.compile(r"[^\W\d_]+|\d+")
 _NOT_HAN = re.compile(r"[^㐀-鿿]+")
-_HAN_RUN = re.compile(r"[㐀-鿿]+")
+_OTHER_LETTER = re.compile(r"[^\W\d_a-zA-ZÀ-ɏ㐀-鿿]")
 _TAG = re.compile(r"#[^\s#]+")
 _SETS = {k: frozenset(v) for k, v in FUNCTION_WORDS.items()}
-_FUNCTION_HAN = re.compile(f"[{FUNCTION_HAN}]")
 _SENTENCE_END = tuple("。！？!?；;.”\"」…")
+_IS_FUNCTION_HAN = np.zeros(0x10000, bool)
+_IS_FUNCTION_HAN[[ord(c) for c in FUNCTION_HAN]] = True
 
 
 def language(text: str) -> str:
-    """zh by script, else the language most of whose function words stand in the text; the lang column is not relied on."""
+    """zh by script, other for further scripts than Latin, else the language most of whose function words stand in
+    the text (en if none does); the lang column is not relied on."""
     if not text.isascii():
         han = len(_NOT_HAN.sub("", text))
         if han >= 0.2 * len(text):
             return "zh"
+        if len(_OTHER_LETTER.findall(text)) >= 0.3 * len(text):
+            return "other"
     words = set(text.lower().split())
     hits = {k: len(words & s) / len(s) for k, s in _SETS.items()}
     best = max(hits, key=lambda k: hits[k])
     return best if hits[best] else "en"
 
 
-def _words(text: str, lang: str) -> list[str]:
-    """Words; pairs of characters where words are not parted."""
-    if lang != "zh":
-        return _TOKEN.findall(text.lower())
-    out = []
-    for run in _HAN_RUN.findall(text):
-        out += map("".join, zip(run, run[1:])) if len(run) > 1 else [run]
-    return out
-
-
-def _is_bad(unit: str, words: list[str], lang: str, top: frozenset[str]) -> bool:
-    """Whether one sentence or line without links, tags and codes is keywords rather than a sentence."""
-    n = len(words)
-    if not n:
-        return False
-    ended = unit.endswith(_SENTENCE_END)
-    if lang == "zh":
-        content, function = words, n
-        if not ended or n >= 12:
-            function = len(_FUNCTION_HAN.findall(unit))
-    else:
-        functions = _SETS[lang]
-        content = [w for w in words if w not in functions]
-        function = n - len(content)
-    size = len(content)
-    most = 1
-    if size - len(set(content)) >= 2:
-        counts = Counter(content)
-        most = max(c for w, c in counts.items() if not w.isdigit() or c == 1)
-        if most >= 3 and most * (8 if lang == "zh" else 7) >= n:
-            return True
-    of_top = sum(w in top for w in content) if top else 0
-    if lang == "zh":
-        parts = unit.split()
-        listed = not ended and (function == 0 or len(parts) >= 3 and len(unit) <= 7 * len(parts))
-        return listed or function == 0 and n >= 12 or of_top >= 0.5 * n or of_top >= 0.3 * n and size > len(set(content))
-    again = 0
-    if of_top > 1:
-        counts = Counter(content)
-        if any(counts[w] > 1 for w in top):
-            again = sum(c for c in counts.values() if c > 1)
-    listed = not ended and size >= 1 and (function == 0 or n >= 5 and function * 8 < n)
-    return listed or function * 14 < n and n >= 12 or size >= 2 and max(of_top, again) >= 0.5 * size or of_top >= 0.35 * n and size > len(set(content))
+def _han(units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For texts whose words are not parted: pairs of characters as words, runs of four as grams, each with its unit;
+    words and function characters of each unit."""
+    codes = np.frombuffer("\n".join(units).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    unit = np.cumsum(codes == 10)
+    han = (codes >= 0x3400) & (codes <= 0x9FFF)
+    two = np.flatnonzero(han[:-1] & han[1:]) if len(codes) > 1 else np.zeros(0, np.int64)
+    words = codes[two] << np.uint64(16) | codes[two + 1]
+    four = two[np.isin(two + 2, two, assume_unique=True)]
+    grams = codes[four] << np.uint64(48) | codes[four + 1] << np.uint64(32) | codes[four + 2] << np.uint64(16) | codes[four + 3]
+    functions = np.bincount(unit, weights=han & _IS_FUNCTION_HAN[codes.astype(np.int64) & 0xFFFF], minlength=len(units))
+    return words, grams, unit[four], np.bincount(unit[two], minlength=len(units)), functions
+
+
+def _latin(units: list[str], functions: frozenset[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The same for texts whose words are parted: content words as numbers, pairs of them as grams."""
+    known: dict[str, int] = {}
+    words, own, sizes, common = [], [], [], []
+    for k, u in enumerate(units):
+        found = _TOKEN.findall(u.lower())
+        content = [known.setdefault(w, len(known)) for w in found if w not in functions]
+        words += content
+        own += [k] * len(content)
+        sizes.append(len(found))
+        common.append(len(found) - len(content))
+    ids, unit = np.array(words, np.uint64), np.array(own, np.int64)
+    at = np.flatnonzero(unit[:-1] == unit[1:])
+    return ids, ids[at] << np.uint64(32) | ids[at + 1], unit[at], np.array(sizes), np.array(common)
 
 
 def measures(text: str) -> tuple[str, list[float]]:
-    """Language and measures of a text, which must not be blank."""
-    lang = language(text)
-    n = len(text)
-    linked = "http" in text or "www." in text or "<" in text or "HTTP" in text
-    links = sum(map(len, _URL.findall(text))) if linked else 0
-    tagged = sum(map(len, _TAG.findall(text))) if "#" in text else 0
-    coded = sum(map(len, _CODE.findall(text)))
-    bad = sentence = 0
-    if links and "<a" in text.lower():
-        bad = sum(len(m[0]) for m in _ANCHOR.finditer(text))
+    """Language and measures of a text, which must not be blank.
+
+    Shares of links and of tags and product codes; repeated word sequences; function words; concentration
+    (chance that two words are the same) and entropy of the content words; and prose: the share of the text in ended
+    sentences, each counted as far as it says what was not said before and has the function words of a sentence.
+    """
+    lang, n, low = language(text), len(text), text.lower()
+    links = 0
+    if "<a" in low:
+        links += sum(len(m[0]) for m in _ANCHOR.finditer(text))
         text = _ANCHOR.sub("\n", text)
-    units, doubtful = [], []
-    for unit in _CUT.split(text):
-        u = unit.strip()
-        if not u:
-            continue
-        plain = _URL.sub(" ", u) if links else u
-        marked = links and len(plain) < len(u) and (len(plain.strip()) < 60 or not plain.rstrip().endswith(_SENTENCE_END))
-        marked = marked or tagged and (u[0] == "#" or len(_TAG.findall(u)) >= 2) or coded and _CODE.search(u) and not u.endswith("。")
-        words = _words(plain, lang)
-        units.append(words)
-        if marked:
-            bad += len(u)
-        else:
-            doubtful.append((u, words))
-    functions = _SETS.get(lang, frozenset())
-    counts = Counter(w for words in units for w in words)
-    total = sum(counts.values())
-    if lang == "zh":
-        function = len(_FUNCTION_HAN.findall(text)) / max(1, total)
-    else:
-        common = [w for w in counts if w in functions]
-        function = sum(counts.pop(w) for w in common) / max(1, total)
-    size = sum(counts.values())
-    squares = sum(c * c for c in counts.values())
-    concentration = (squares - size) / max(1, size * (size - 1))
-    entropy = 1.0
-    if size > 1:
-        sizes = Counter(counts.values())
-        entropy = 1.0 - sum(m * c * math.log(c) for c, m in sizes.items()) / (size * math.log(size))
-    least = max(8, 0.06 * size)
-    top = frozenset(w for w, c in counts.items() if c >= least and not w.isdigit())
-    for u, words in doubtful:
-        if _is_bad(u, words, lang, top):
-            bad += len(u)
-        elif u.endswith(_SENTENCE_END):
-            sentence += len(u)
-    return lang, [links / n, min(1.0, (tagged + coded) / n), min(1.0, bad / n), function, concentration, entropy, min(1.0, sentence / n)]
+    if "http" in low or "www." in low or "<" in low:
+        links += sum(map(len, _URL.findall(text)))
+        text = _URL.sub(" ", text)
+    tags = (sum(map(len, _TAG.findall(text))) if "#" in text else 0) + sum(map(len, _CODE.findall(text)))
+    units = [u.strip() for part in _CUT.split(text) for u in part.split("\n") if u.strip()]
+    if not units:
+        return lang, [min(1.0, links / n), min(1.0, tags / n), 0.0, 0.0, 0.0, 1.0, 0.0]
+    words, grams, unit, sizes, functions = _han(units) if lang == "zh" else _latin(units, _SETS.get(lang, frozenset()))
+    counts = np.unique(words, return_counts=True)[1].astype(float)
+    size = len(words)
+    concentration = float((counts * (counts - 1)).sum()) / max(1, size * (size - 1))
+    entropy = 1.0 - float((counts * np.log(counts)).sum()) / (size * math.log(size)) if size > 1 else 1.0
+    first = np.unique(grams, return_index=True)[1]
+    repetition = 1.0 - len(first) / len(grams) if len(grams) else 0.0
+    fresh = np.bincount(unit[first], minlength=len(units)) / np.maximum(1, np.bincount(unit, minlength=len(units)))
+    spoken = np.minimum(1.0, PROSE_WORDS * functions / np.maximum(1, sizes)) if lang != "other" else np.ones(len(units))
+    ended = np.array([len(u) if u.endswith(_SENTENCE_END) else 0 for u in units])
+    prose = float((ended * fresh * spoken).sum())
+    return lang, [min(1.0, links / n), min(1.0, tags / n), repetition, float(functions.sum() / max(1, sizes.sum())), concentration, entropy, min(1.0, prose / n)]
 
 
 FEATURES = "doc_id long, language string, " + ", ".join(f"{m} double" for m in _NAMES)
@@ -173,7 +143,7 @@ def _measured(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def text_measures(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, language, measures) of each text that is not blank."""
     texts = rows.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return spread(texts.where("doc_id is not null and text is not null and text rlike '\\\\S'")).mapInPandas(_measured, FEATURES)
+    return dealt(texts.where("doc_id is not null and text is not null and text rlike '\\\\S'")).mapInPandas(_measured, FEATURES)
 
 
 def robust_model(features: DataFrame) -> dict[str, dict[str, np.ndarray]]:
@@ -188,8 +158,8 @@ def robust_model(features: DataFrame) -> dict[str, dict[str, np.ndarray]]:
     if not middle:
         return {}
     away = features.groupBy(k).agg(*(F.percentile_approx(F.abs(F.col(m) - _by_language(middle, i)), 0.5, 5000).alias(m) for i, m in enumerate(_NAMES)))
-    spread = {r["language"]: np.array([max(1.4826 * r[m], _FLOOR[m]) for m in _NAMES]) for r in away.collect()}
-    z = _deviations(features, middle, spread)
+    scale = {r["language"]: np.array([max(1.4826 * r[m], _FLOOR[m]) for m in _NAMES]) for r in away.collect()}
+    z = _deviations(features, middle, scale)
     near = z.where(" and ".join(f"abs(z_{m}) <= {NEAR}" for m in _NAMES))
     n = len(_NAMES)
     products = near.groupBy(k).agg(F.count("*").alias("n"), *(F.sum(F.col(f"z_{_NAMES[i]}") * F.col(f"z_{_NAMES[j]}")).alias(f"s_{i}_{j}") for i in range(n) for j in range(i + 1)))
@@ -200,23 +170,23 @@ def robust_model(features: DataFrame) -> dict[str, dict[str, np.ndarray]]:
         if lang in sums:
             r = sums[lang]
             scatter = (1 - SHRINK) * np.array([[r[f"s_{max(i, j)}_{min(i, j)}"] / r["n"] for j in range(n)] for i in range(n)]) + SHRINK * scatter
-        model[lang] = {"centre": middle[lang], "spread": spread[lang], "inverse": np.linalg.inv(scatter)}
+        model[lang] = {"centre": middle[lang], "scale": scale[lang], "inverse": np.linalg.inv(scatter)}
     return model
 
 
 #: Least scale of each measure: most texts have no links at all, and a deviation below this means nothing.
-_FLOOR = {"link_share": 0.03, "tag_share": 0.02, "bad_share": 0.05, "function_share": 0.02, "concentration": 0.004, "entropy": 0.03, "sentence_share": 0.1}
+_FLOOR = {"link_share": 0.03, "tag_share": 0.02, "repetition": 0.05, "function_share": 0.02, "concentration": 0.004, "entropy": 0.03, "prose_share": 0.1}
 
 
 def _by_language(values: dict[str, np.ndarray], i: int):
     return F.create_map(*(x for k, v in values.items() for x in (F.lit(k), F.lit(float(v[i])))))[F.col("language")]
 
 
-def _deviations(features: DataFrame, centre: dict, spread: dict) -> DataFrame:
-    return features.withColumns({f"z_{m}": (F.col(m) - _by_language(centre, i)) / _by_language(spread, i) for i, m in enumerate(_NAMES)})
+def _deviations(features: DataFrame, centre: dict, scale: dict) -> DataFrame:
+    return features.withColumns({f"z_{m}": (F.col(m) - _by_language(centre, i)) / _by_language(scale, i) for i, m in enumerate(_NAMES)})
 
 
-def find_spam(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", far: float = FAR, towards: float = TOWARDS, mostly: float = MOSTLY) -> DataFrame:
+def find_spam(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", far: float = FAR, towards: float = TOWARDS) -> DataFrame:
     """(id) of the texts that consist mostly of repeated keywords, links or tags.
 
     Null, empty and blank texts and null ids are no case; repeated rows give repeated results; extra columns
@@ -226,9 +196,9 @@ def find_spam(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
     model = robust_model(features)
     if not model:
         return features.select(F.col("doc_id").alias(id_col))
-    z = _deviations(features, {k: v["centre"] for k, v in model.items()}, {k: v["spread"] for k, v in model.items()})
+    z = _deviations(features, {k: v["centre"] for k, v in model.items()}, {k: v["scale"] for k, v in model.items()})
     n = len(_NAMES)
-    z_of = [F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.col(f"z_{m}"))) for m in _NAMES]
+    z_of = [F.greatest(F.lit(-MOST), F.least(F.lit(MOST), F.col(f"z_{m}"))) for m in _NAMES]
     distance = sum((_by_language({k: v["inverse"][i] for k, v in model.items()}, j) * z_of[i] * z_of[j] for i in range(n) for j in range(n)), F.lit(0.0))
     direction = sum((z_of[i] * MEASURES[m] for i, m in enumerate(_NAMES)), F.lit(0.0)) / math.sqrt(n)
-    return z.where((distance > far) & (direction > towards) & (F.col("bad_share") >= mostly)).select(F.col("doc_id").alias(id_col))
+    return z.where((distance > far) & (direction > towards)).select(F.col("doc_id").alias(id_col))

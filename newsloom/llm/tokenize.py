@@ -8,6 +8,7 @@ position knows its state. The slices are merged once per distinct piece and kept
 from __future__ import annotations
 
 import base64
+import hashlib
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -18,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.session import spread
+from newsloom.session import dealt
 
 #: Folder of the vocabulary files; a parameter of every function that reads one.
 VOCABULARIES = "/opt/tokenizers"
@@ -182,15 +183,31 @@ class Encoder:
         return b"".join(self._bytes[i] for i in ids).decode("utf-8", "replace")
 
 
-_ENCODERS: dict[tuple[str, int], Encoder] = {}
+#: Bytes of a vocabulary file up to which the driver sends it to the executors; 50,000 pieces are about 0.8 MB.
+MOST_BYTES = 32 << 20
+#: Encoders that a Python worker keeps, by the hash of their vocabulary.
+KEPT_ENCODERS = 4
+_ENCODERS: dict[str, Encoder] = {}
 
 
-def _encoder(name: str, shared) -> Encoder:
-    """The worker's encoder of a vocabulary that the driver sent (under 1 MB)."""
-    key = (name, shared.id if hasattr(shared, "id") else 0)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(shared.value)
-    return _ENCODERS[key]
+def _sent(spark, name: str, folder: str):
+    """Broadcast of a vocabulary and the hash of its file, whose size is checked first."""
+    path = Path(folder, f"{name}.tiktoken")
+    size = path.stat().st_size
+    if size > MOST_BYTES:
+        raise ValueError(f"{path} has {size} bytes, more than {MOST_BYTES} to send to each executor")
+    return spark.sparkContext.broadcast((hashlib.sha256(path.read_bytes()).hexdigest(), read_ranks(name, folder)))
+
+
+def _encoder(shared) -> Encoder:
+    """The worker's encoder of a vocabulary that the driver sent. The file's hash tells vocabularies apart, whatever
+    their names and folders are."""
+    digest, ranks = shared.value
+    if digest not in _ENCODERS:
+        while len(_ENCODERS) >= KEPT_ENCODERS:
+            _ENCODERS.pop(next(iter(_ENCODERS)))
+        _ENCODERS[digest] = Encoder(ranks)
+    return _ENCODERS[digest]
 
 
 def encode_texts(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: str = DEFAULT, folder: str = VOCABULARIES, counts_only: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -198,10 +215,10 @@ def encode_texts(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Null and empty texts have an empty list (0 tokens). Repeated rows give repeated results, a null id stays
     null; other columns are ignored. Texts are encoded whole, row by row, without a shuffle. The driver
-    sends the vocabulary, a file of fixed size, to the executors; its folder is a parameter.
+    sends the vocabulary, a file of at most ``MOST_BYTES``, to the executors; its folder is a parameter.
     """
     spark = rows.sparkSession
-    shared = spark.sparkContext.broadcast(read_ranks(name, folder))
+    shared = _sent(spark, name, folder)
     kept = [(c, t) for c, t in rows.dtypes if c in keep]
     out = "n_tokens" if counts_only else "ids"
     schema = ", ".join([f"`{id_col}` {dict(rows.dtypes)[id_col]}", *(f"`{c}` {t}" for c, t in kept), f"{out} {'int' if counts_only else 'array<int>'}"])
@@ -209,7 +226,7 @@ def encode_texts(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def encode(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        coder = _encoder(name, shared)
+        coder = _encoder(shared)
         for b in batches:
             texts = b.column("_text").to_pylist()
             if counts_only:
@@ -223,4 +240,4 @@ def encode_texts(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             names = [id_col, *(c for c, _ in kept)]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), found], [*names, out])
 
-    return spread(rows.select(id_col, *(c for c, _ in kept), F.col(text_col).alias("_text"))).mapInArrow(encode, schema)
+    return dealt(rows.select(id_col, *(c for c, _ in kept), F.col(text_col).alias("_text"))).mapInArrow(encode, schema)
