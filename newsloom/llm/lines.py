@@ -146,7 +146,10 @@ def _form(raw: str, text: str, width: int) -> int:
     """Form of a line; nothing but signs of its make-up counts, no phrase but labels of tags, links and comments."""
     if not text:
         return BLANK
-    low, ended = text.lower(), _ended(text)
+    ended = _ended(text)
+    if ended and width >= NOTICE + SURGE:
+        return TEXT  # as long as a paragraph, and ended
+    low = text.lower()
     if _COMMENT.match(low) or _TAGS.fullmatch(low) or text.endswith(("…", "...")) and _is_crumbs(text):
         return PART
     if _BULLET.match(text):
@@ -205,7 +208,8 @@ def read_line(raw: str) -> tuple[str, int, int, bool]:
     text = plain(raw)
     width = columns(text)
     form = _form(raw, text, width)
-    return text, width, form, form in (TEXT, ITEM, SHORT, MENU) and has_cue(text, form)
+    # beyond this length a line weighs what a surge takes even with a cue
+    return text, width, form, width < NOTICE + SURGE and form in (TEXT, ITEM, SHORT, MENU) and has_cue(text, form)
 
 
 def read_body(body: str) -> list[tuple[str, int, int, bool]]:

@@ -11,15 +11,17 @@ the most part of its length.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.lines import ITEM, LINK, MENU, QUOTE, SHORT, TEXT, columns, is_list_heading, read_body
+from newsloom.llm.lines import EDGE, ITEM, LINK, MENU, QUOTE, SHORT, TEXT, columns, is_list_heading, read_body, weight
 from newsloom.session import dealt, stored
 
 _FLAGS = re.IGNORECASE
@@ -37,7 +39,7 @@ NULL_WORDS = r"\[object object\]|undefined|null|none|nan|n/a|nil|tbd|todo|待补
 FILLER_STEMS = "lorem ipsum dolor dolent sit ament amet consec tetur adipis elit elitra sed tempo incidun labore magna aliqu enim minim veniam quis nostrud ullamco nisi commodo nulla vesper quaram".split()
 #: Messages of pages and programs, as they begin.
 MESSAGES = """
-(?:error )?\\d{3} ?[-:–—]? ?(?:not found|bad gateway|internal server|service|gateway|forbidden|we could not|网关|页面|服务|未找到|禁止|错误)
+(?:error )?(?:\\d{3}|‹n›) ?[-:–—]? ?(?:not found|bad gateway|internal server|service|gateway|forbidden|we could not|网关|页面|服务|未找到|禁止|错误)
 page not found|we could not find|the page .{0,160} (?:not found|no longer|does not exist)|die seite .{0,200} (?:wurde nicht gefunden|existiert nicht|nicht verfügbar)|seite nicht gefunden
 (?:lo sentimos, )?la página .{0,200} no existe|página no encontrada|página não encontrada|a página .{0,200} não
 (?:抱歉,? ?)?(?:您访问的|该|此|本)?(?:页面|网页|文章|内容|链接).{0,20}(?:不存在|已被删除|已删除|已失效|已下线|无法显示|无法访问|因.{0,60}(?:操作|原因).{0,6}(?:删除|下线))
@@ -62,23 +64,23 @@ WEAK_WORDS = "javascript|脚本|404|403|500|502|503|captcha|验证|placeholder|
 _SLOT = re.compile("|".join(SLOTS), _FLAGS)
 _NULL = re.compile(rf"(?<![\w])(?:{NULL_WORDS})(?![\w])|{NULL_WORDS.split('|')[0]}", _FLAGS)
 _MESSAGE = re.compile("|".join(x for x in MESSAGES.strip().split("\n")), _FLAGS)
-_WEAK = re.compile(WEAK_WORDS, _FLAGS)
-_UNITS = re.compile(r"(?<=[。!?！？])|(?<=[.])\s+|\n|[;；]\s*")
+_HINTS = WEAK_WORDS.split("|")
+_UNIT_ENDS = "。!?！？;；"
 _URL = re.compile(r"(?:https?://|www\.)\S+|\b[\w-]+(?:\.[\w-]+)*\.(?:com|net|org|cn|io|example)\w*(?:/[\w./?=&%#~+-]*)?", _FLAGS)
-_DATE = re.compile(r"\d{4}[-/.年]\d{1,2}[-/.月]\d{1,2}日?|\d{1,2}[-/.]\d{1,2}[-/.]\d{4}|\d{1,2}:\d{2}(?::\d{2})?")
+_DATE = re.compile(r"‹n›(?:-‹n›-|/‹n›/|年‹n›月)‹n›日?(?: ?‹n›:‹n›(?::‹n›)?)?|‹n›:‹n›(?::‹n›)?")
 _TITLE = re.compile(r"《[^《》\n]+》|\"[^\"\n]+\"|“[^”\n]+”")
-_IDS = re.compile(r"(?<![a-z])(?=[a-z]*\d)[a-z\d]{2,}(?![a-z])|\d+(?:[.,]\d+)*", _FLAGS | re.ASCII)
-_LABEL = re.compile(r"[\w.-]+ ?[:：=]")
+_NUMBER = re.compile(r"\d[\d.,]*")
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+_QUOTES, _HOSTS, _DATES = ("《", '"', "“"), ("http", "www.", ".com", ".net", ".org", ".cn", ".io", ".example"), ("‹n›-‹n›", "‹n›/‹n›", "‹n›年", "‹n›:")
+_LABEL = re.compile(r"[\w.‹›-]+ ?[:：=]")
 _MARK = re.compile(r"‹\w›|[\W_]+")
 _WORD = re.compile(r"[^\W\d_]+")
 _RUN = re.compile(r"([^\W\d_])\1{4,}")
-_PERIOD = re.compile(r"(.{1,24}?)\1{4,}")
 _GAP = re.compile(r"(?<=[一-鿿]) (?=[一-鿿])|(?:^|[ ,(（])[,.:;)）](?!\.)|\( ?\)|(?<=\w) [,.;:](?= |$|[^\W\d])")
 _STEMS = tuple(FILLER_STEMS)
 _RULE_SIGNS = frozenset("-=_*.#~")
-_OPENERS = ("${", "#{", "{", "<%", "[", "__", "@@", "【", "<核心", "<正文", "<标题", "<摘要", "<内容", "<in", "<yo", "<pl", "XXX", "xxx", ": …", "：…")
+_OPENERS, _PERCENT = ("{", "[", "<", "__", "@@", "【", "XXX", "xxx", ": …", ":…", "：…"), re.compile(r"%[A-Za-z_]")
 _NULL_SIGNS = ("object", "undefined", "null", "none", "nan", "n/a", "nil", "tbd", "todo", "待", "暂无")
-_PERCENT = re.compile(r"%[A-Za-z_]")
 
 #: Evidence from which a message is residue by itself, and from which it is if it recurs widely.
 SURE, LITTLE = 0.5, 0.05
@@ -86,24 +88,43 @@ SURE, LITTLE = 0.5, 0.05
 CURT = 2
 
 
-def mask(text: str) -> str:
-    """The text with slots, titles, addresses, dates, numbers and codes masked, lower case, single spaces."""
-    for slot in _slots(text):
+def _masked(text: str) -> str:
+    """The text with slots, titles, addresses, dates, numbers and codes masked, in lower case."""
+    for slot in set(_slots(text)):
         text = text.replace(slot, "‹s›")
-    text = _TITLE.sub("‹t›", text)
-    text = _URL.sub("‹u›", text)
-    text = _DATE.sub("‹d›", text)
-    return " ".join(_IDS.sub("‹n›", text).lower().split())
+    if any(q in text for q in _QUOTES):
+        text = _TITLE.sub("‹t›", text)
+    text = text.lower()
+    if any(h in text for h in _HOSTS):
+        text = _URL.sub("‹u›", text)
+    text = _NUMBER.sub("‹n›", text)
+    if any(d in text for d in _DATES):
+        text = _DATE.sub("‹d›", text)
+    return _with_codes(text) if "‹n›" in text else text
+
+
+def _with_codes(text: str) -> str:
+    """Numbers and the letters that they are written together with as one mask."""
+    first, *parts = text.split("‹n›")
+    parts = [first.rstrip(_LETTERS), *(x.strip(_LETTERS) for x in parts[:-1]), parts[-1].lstrip(_LETTERS)]
+    joined = "‹n›".join(parts)
+    while "‹n›‹n›" in joined:
+        joined = joined.replace("‹n›‹n›", "‹n›")
+    return joined
 
 
-def message(text: str) -> str:
-    """What the rows of one message share: its masked units, each once, in order."""
-    units = (" ".join(dict.fromkeys(mask(u).split(" "))) if "‹s›" in mask(u) else mask(u) for u in _units(text))
-    return "\n".join(dict.fromkeys(u for u in units if u))
+def _units(text: str) -> list[str]:
+    """Sentences and lines of a masked text."""
+    for end in _UNIT_ENDS:
+        if end in text:
+            text = text.replace(end, f"{end}\n")
+    return [u for part in text.replace(". ", ".\n").split("\n") if (u := part.strip())]
 
 
-def _units(text: str) -> list[str]:
-    return [u.strip() for u in _UNITS.split(text) if u and u.strip()]
+def message(units: list[str]) -> str:
+    """What the rows of one message share: its masked units, each once, in order; in a unit of slots each word once."""
+    words = (u.split() for u in units)
+    return "\n".join(dict.fromkeys(" ".join(dict.fromkeys(w) if "‹s›" in w else w) for w in words))
 
 
 def core(body: str) -> str:
@@ -112,24 +133,25 @@ def core(body: str) -> str:
 
 
 def core_of(lines: list[tuple[str, int, int, bool]]) -> str:
-    """The same from lines that are read already: lines that are residue by themselves, and what is text without a
-    cue; headlines only if no line is residue, and not those below the heading of a list of other articles."""
-    said = [bool(t) and _says(t) for t, _, _, _ in lines]
-    own = (TEXT, ITEM, QUOTE) if any(said) else (TEXT, ITEM, QUOTE, SHORT)
-    kept, listed = [], False
-    for (text, _, form, cue), s in zip(lines, said):
-        if text and is_list_heading(text):
+    """The same from lines that are read already: what is text and no cue takes off, and of the others those that are
+    residue by themselves; without any such line the headlines, but for those below the heading of a list of other
+    articles."""
+    kept, short, listed = [], [], False
+    for text, width, form, cue in lines:
+        if form in (SHORT, MENU) and is_list_heading(text):
             listed = True
         elif listed and form not in (SHORT, LINK, MENU):
             listed = False
-        if s or form in own and not cue and not (listed and form == SHORT):
+        if form in (TEXT, ITEM, QUOTE) and not (cue and weight(width, form, cue) < EDGE) or text and _says(text):
             kept.append(text)
-    return "\n".join(kept)
+        elif form == SHORT and not cue and not listed:
+            short.append(text)
+    return "\n".join(kept or short)
 
 
 def _slots(text: str) -> list[str]:
     """The unfilled slots. Only a text with a sign that opens one is searched."""
-    if any(o in text for o in _OPENERS) or _PERCENT.search(text):
+    if any(o in text for o in _OPENERS) or "%" in text and _PERCENT.search(text):
         return [m[0] for m in _SLOT.finditer(text)]
     return []
 
@@ -141,7 +163,7 @@ def _says(line: str) -> bool:
 
 
 def _is_message(unit: str) -> bool:
-    low = unit.lower()
+    low = unit if unit.islower() else unit.lower()
     bare = low.lstrip("([（【<*>#·•-\"“ ")
     return _MESSAGE.match(bare) is not None or bare is not low and low.startswith("(") and _MESSAGE.match(low) is not None
 
@@ -151,7 +173,7 @@ def _is_null(text: str) -> bool:
     low = text.lower()
     if not any(w in low for w in _NULL_SIGNS) or not _NULL.search(text):
         return False
-    rest = _MARK.sub("", mask(_NULL.sub("", _LABEL.sub("", text))))
+    rest = _MARK.sub("", _masked(_NULL.sub("", _LABEL.sub("", text))))
     return columns(rest) <= 0.25 * columns(text)
 
 
@@ -168,17 +190,52 @@ def _is_filler(text: str) -> bool:
         if len(words) >= 8 and sum(w.startswith(_STEMS) for w in words) >= 0.5 * len(words):
             return True
     tight = "".join(text.split())
-    if len(tight) < 12:
+    if len(tight) < 12 or not _packs(tight):
         return False
     if _RUN.search(tight) and sum(len(m[0]) for m in _RUN.finditer(tight)) >= 0.55 * len(tight):
         return True
-    return sum(len(m[0]) for m in _PERIOD.finditer(tight) if not _RULE_SIGNS.issuperset(m[1])) >= 0.5 * len(tight)
+    return _repeated(tight) >= 0.5
+
+
+#: Longest phrase whose repetition is filler, how often it must stand in a row, and the share to which a text of which
+#: half repeats can be packed, beside the signs that any packing takes.
+PERIOD, TIMES, PACKED, OVERHEAD = 24, 5, 0.3, 150
+
+
+def _packs(tight: str) -> bool:
+    """Whether a text is packed to so little that half of it may be repetition."""
+    raw = tight.encode("utf-8", "replace")
+    return len(zlib.compress(raw, 1)) <= PACKED * len(raw) + OVERHEAD
+
+
+def _repeated(tight: str) -> float:
+    """Share of a text without spaces that is runs of a phrase repeated ``TIMES`` or more, rules of signs aside: each
+    distance up to ``PERIOD`` is tried over the whole text at once."""
+    codes = np.frombuffer(tight.encode("utf-32-le", "surrogatepass"), np.uint32)
+    covered = np.zeros(len(codes) + 1, np.int64)
+    for p in range(1, min(PERIOD, len(codes) // TIMES) + 1):
+        ends = np.flatnonzero(np.append(codes[p:] != codes[:-p], True))
+        starts = np.concatenate([[0], ends[:-1] + 1])
+        long = ends - starts >= (TIMES - 1) * p
+        np.add.at(covered, starts[long], 1)
+        np.add.at(covered, ends[long] + p, -1)
+    inside = (np.cumsum(covered)[:-1] > 0) & ~np.isin(codes, [ord(c) for c in _RULE_SIGNS])
+    return float(inside.mean())
+
+
+def _gaps(text: str, width: int) -> float:
+    """Places where a value was filled in as nothing, as far as they could make a residue of a text of that width."""
+    signs = sum(text.count(x) for x in (" ,", " .", " ;", " :", " )", "( ", "(,", "()", ",,"))
+    if width > 1.3 * len(text):  # words are not parted there
+        signs += text.count(" ") + text.count("（")
+    return len(_GAP.findall(text)) * 15 / width if signs * 15 >= SURE * width else 0.0
 
 
-def evidence(text: str) -> float:
+def evidence(text: str, units: list[str] | None = None) -> float:
     """Share of a core text, 0 to 1, that phrase and placeholder rules take for residue; a whole one from SURE on.
 
-    An empty text has 0: nothing that is there says that content is missing.
+    ``units`` are those of the masked text where they are known. An empty text has 0: nothing that is there says that
+    content is missing.
     """
     if not text.strip():
         return 0.0
@@ -188,14 +245,17 @@ def evidence(text: str) -> float:
     if slots:
         taken = sum(map(columns, slots))
         found = max(taken / (0.6 * width), len(slots) * 45 / (2 * max(1, width - taken)))
-    if found < SURE and (_is_null(text) or _is_filler(text)):
+    if found < SURE and _is_filler(text):
         found = 1.0
     if found < SURE:
-        found = max(found, len(_GAP.findall(text)) * 15 / width)
+        found = max(found, _gaps(text, width))
     if found < SURE:
-        stems = _stems(text)
-        hit = sum(columns(u) for u in _units(text) if _is_message(u) or stems and _is_filler(u))
-        found = max(found, hit / width)
+        stems = width < 1.5 * len(text) and _stems(text)
+        units = _units(_masked(text)) if units is None else units
+        low = text.lower()
+        nulls = any(w in low for w in _NULL_SIGNS)
+        hit = sum(columns(u) for u in units if _is_message(u) or nulls and _is_null(u) or stems and _is_filler(u))
+        found = max(found, hit / max(1, sum(map(columns, units))) if hit else 0.0)
     return min(1.0, found)
 
 
@@ -215,8 +275,9 @@ def _judged(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for origin, key, source, text in zip(f["origin"], f["row_key"], f["source"], f["text"]):
             c = core(text)
             if c.strip():
-                m = message(c)
-                rows.append((origin, key, source, xxhash.xxh3_64_intdigest(m) - 2**63, evidence(c), m.count("\n") + 1, _WEAK.search(m) is not None))
+                units = _units(_masked(c))
+                m = message(units)
+                rows.append((origin, key, source, xxhash.xxh3_64_intdigest(m) - 2**63, evidence(c, units), m.count("\n") + 1, any(w in m for w in _HINTS)))
         yield pd.DataFrame(rows, columns=["origin", "row_key", "source", "message", "share", "units", "hint"]).astype({"share": "float32", "units": "int32", "hint": "bool"})
 
 
