@@ -1,7 +1,12 @@
-"""Text expressions: all are Column to Column and stay inside generated code."""
+"""Text expressions: all are Column to Column and stay in the JVM."""
 
 from __future__ import annotations
 
+import html
+import html.entities
+import json
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,6 +34,50 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
 
 
+#: Named entities from the standard library: those of HTML 4, apos, and the ones that may stand without their semicolon.
+_NAMES = {n for n in html.entities.html5 if n[-1] != ";"} | {*html.entities.name2codepoint, "apos"}
+_ENTITIES = json.dumps({n: html.entities.html5[n] for name in sorted(_NAMES) for n in (name, f"{name};") if n in html.entities.html5})
+#: What numeric entities of the C1 range stand for, from the standard library.
+_C1 = json.dumps({str(k): v for k, v in html._invalid_charrefs.items()})
+
+
+def bound(c: Column, f: Callable[[Column], Column]) -> Column:
+    """f of the column, which is worked out once however often f uses it."""
+    return F.get(F.transform(F.array(c), f), 0)
+
+
+def unescape(c: Column) -> Column:
+    """Entities as the characters they stand for: names of HTML 4 and apos, the longest that is known where the semicolon
+    may be left out, and numbers. Texts without an & are passed on as they are."""
+    return bound(c, lambda text: F.when(F.contains(text, F.lit("&")), bound(F.from_json(F.lit(_ENTITIES), "map<string,string>"), lambda names: _resolved(text, names))).otherwise(text))
+
+
+def _resolved(c: Column, names: Column) -> Column:
+    c1 = F.from_json(F.lit(_C1), "map<string,string>")
+
+    def character(code: Column) -> Column:
+        plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        known = F.element_at(c1, code.cast("string"))
+        beyond = code.isNull() | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF)
+        control = (code < 32) & ~code.isin(9, 10, 12, 13) | code.between(0x7F, 0x9F) | code.between(0xFDD0, 0xFDEF) | (F.pmod(code, F.lit(65536)) >= 65534) | (code == 11)
+        return F.when(known.isNotNull(), known).when(beyond, F.lit("\ufffd")).when(control, F.lit("")).otherwise(plain)
+
+    def resolved(part: Column) -> Column:
+        number = F.regexp_extract(part, r"^#(?:[0-9]+|[xX][0-9a-fA-F]+);?", 0)
+        digits = F.regexp_extract(number, r"^#[xX]?([0-9a-fA-F]+)", 1)
+        short = F.length(F.regexp_replace(digits, "^0+", "")) <= 7
+        code = F.when(short, F.when(number.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(F.conv(digits, 10, 10)).cast("bigint"))
+        word = F.regexp_extract(part, r"^[A-Za-z][A-Za-z0-9]{0,31};?", 0)
+        tries = F.transform(F.sequence(F.greatest(F.length(word), F.lit(1)), F.lit(1)), lambda k: F.substring(word, F.lit(1), k))
+        name = F.get(F.filter(tries, lambda x: F.map_contains_key(names, x)), 0)  # the longest first
+        named = F.concat(F.element_at(names, name), F.substring(part, F.length(name) + 1, F.length(part)))
+        counted = F.concat(character(code), F.substring(part, F.length(number) + 1, F.length(part)))
+        return F.when(number != "", counted).when(name.isNotNull(), named).otherwise(F.concat(F.lit("&"), part))
+
+    parts = F.split(c, "&")
+    return F.concat(F.get(parts, 0), F.array_join(F.transform(F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1))), resolved), ""))
+
+
 def clean_lines(c: Column, dropped: list[str] | None = None) -> Column:
     """Array of the lines of a text: ideographic and hard spaces folded, runs of space made one, blank lines, button
     words and repetitions of the line before dropped. Null gives null."""
@@ -36,13 +85,12 @@ def clean_lines(c: Column, dropped: list[str] | None = None) -> Column:
     lines = F.split(F.translate(c, "　 ", "  "), _LINE_BREAKS)
     lines = F.transform(lines, lambda x: strip(F.regexp_replace(x, "[ \t]+", " ")))
     lines = F.filter(lines, lambda x: (x != "") & ~F.array_contains(words, x))
-    # bound once as the element of a list, so that the comparison does not work it out for each line
-    return F.get(F.transform(F.array(lines), lambda bound: F.filter(bound, lambda x, i: (i == 0) | (x != F.get(bound, i - 1)))), 0)
+    return bound(lines, lambda kept: F.filter(kept, lambda x, i: (i == 0) | (x != F.get(kept, i - 1))))
 
 
 def clean_text(c: Column) -> Column:
-    """The lines of clean_lines as one text. Entities must be resolved before (html.unescape)."""
-    return F.array_join(clean_lines(c), "\n")
+    """Entities resolved, then the lines of clean_lines as one text."""
+    return F.array_join(clean_lines(unescape(c)), "\n")
 
 
 def normalize_url(c: Column) -> Column:
@@ -62,6 +110,17 @@ def normalize_title(c: Column, site_names: list[str] | None = None) -> Column:
     return F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}_]+", "")
 
 
+def word_key(c: Column) -> Column:
+    """normalize_title without site names: lower case, letters, digits and _ only."""
+    return normalize_title(c, [])
+
+
+def sink_identity(title: Column, url: Column) -> Column:
+    """(title_key, url_key) under which a row of the sink is known; the address is empty if there is none."""
+    address = cell_text(url)
+    return F.struct(word_key(cell_text(title)).alias("title_key"), F.when(F.coalesce(address, F.lit("")) == "", "").otherwise(normalize_url(address)).alias("url_key"))
+
+
 def visible_chars(c: Column) -> Column:
     """Characters that are not white space; 0 for null."""
     return F.length(F.regexp_replace(F.coalesce(c, F.lit("")), f"{SPACE}+", "")).cast("long")
@@ -125,6 +184,28 @@ def cell_text(c: Column) -> Column:
     return F.when(trimmed.startswith("{"), F.coalesce(F.nullif(one["link"], F.lit("")), F.nullif(one["url"], F.lit("")), one["text"])).when(trimmed.startswith("["), of_many).otherwise(trimmed)
 
 
+def json_object(c: Column) -> Column:
+    """The JSON object that a model's answer holds, as text: in a fenced block, else from the first to the last brace.
+    Null if that is no JSON object."""
+    fenced = F.regexp_extract(c, r"(?s)```(?:json)?\s*(\{.*\})\s*```", 1)
+    bare = F.regexp_extract(c, r"(?s)\{.*\}", 0)
+    found = F.coalesce(F.nullif(fenced, F.lit("")), F.nullif(bare, F.lit("")))
+    return F.when(F.try_parse_json(found).isNotNull(), found)
+
+
+def clean_answer(c: Column) -> Column:
+    """A model's answer in words, without a code fence around it."""
+    return strip(F.regexp_replace(strip(c), r"^```(?:text)?\s*|\s*```$", ""))
+
+
+def failure_markers(log: Column, markers: dict[str, str], ignored: str) -> Column:
+    """Sorted names of the patterns that stand in some line of a log, colour codes aside; lines that hold ``ignored``,
+    which dump payloads, do not count."""
+    lines = F.filter(F.split(F.regexp_replace(F.coalesce(log, F.lit("")), r"\x1b\[[0-9;]*m", ""), r"\r\n|[\n\r]"), lambda x: ~F.contains(x, F.lit(ignored)))
+    matches = lambda pattern: F.exists(lines, lambda x: x.rlike(pattern))
+    return F.array_compact(F.array(*(F.when(matches(pattern), F.lit(name)) for name, pattern in sorted(markers.items()))))
+
+
 def traffic_number(c: Column) -> Column:
     """20,000+ as 20000.0; null if there is no number."""
     digits = F.nullif(F.regexp_replace(c, "[^0-9.]", ""), F.lit(""))

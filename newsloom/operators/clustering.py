@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 from math import ceil
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,40 +43,105 @@ def _pair_test(least: float):
     return test
 
 
-def _rare_signs(text: Column, counts: Column, least: float) -> Column:
-    """The rarest signs of a text, as many as two texts of that likeness cannot all differ in.
+#: Slots of the table of sign frequencies, which only orders signs: a fixed size, whatever the texts.
+SLOTS = 1 << 16
+#: Length from which texts are compared by pairs of characters rather than single ones.
+LONG = 8
 
-    A sign is a character with its number among equal ones. A likeness of ``least`` needs that share of
-    matched characters, so at least ``least / (2 - least)`` of a text's own; of two such texts the first
-    signs in one order of rarity must meet.
+
+def _numbered(elements: list[str], kind: str) -> list[str]:
+    """The elements of a text, each with its number among equal ones."""
+    seen: dict[str, int] = {}
+    out = []
+    for e in elements:
+        seen[e] = seen.get(e, 0) + 1
+        out.append(f"{kind}{e}{seen[e]}")
+    return out
+
+
+def _slot(sign: str) -> int:
+    return zlib.crc32(sign.encode("utf-8", "replace")) % SLOTS
+
+
+def signs_of(text: str, least: float, frequencies: np.ndarray) -> list[str]:
+    """Signs of which two texts of that likeness must share one, the rarest of a text.
+
+    A likeness of r matches at least r / (2 - r) of either text's characters, so of single characters a text may
+    leave out all but that share. The matched characters lie in as many blocks as there are unmatched ones, and
+    one, at most; so of n characters at least 2n(1.5r - 1) / (2 - r) - 1 pairs are common. Pairs are used when both
+    texts are ``LONG``; a text that may meet shorter ones has signs of both kinds.
+    """
+    n, share = len(text), least / (2 - least)
+    out: list[str] = []
+    for kind, wanted, elements, common in (
+        ("1", n * share < LONG, list(text), ceil(n * share - 1e-9)),
+        ("2", n >= LONG, [text[k : k + 2] for k in range(n - 1)], max(1, ceil(2 * n * (1.5 * least - 1) / (2 - least) - 1 - 1e-9))),
+    ):
+        if wanted:
+            signs = sorted(_numbered(elements, kind), key=lambda s: (frequencies[_slot(s)], s))
+            out += signs[: max(0, len(signs) - common + 1)]
+    return out
+
+
+def _frequencies(values: DataFrame) -> np.ndarray:
+    """How many signs of all texts fall into each of ``SLOTS`` slots: counted where the texts lie, summed up by slot."""
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(SLOTS, np.int64)
+        for f in frames:
+            for t in f["text"]:
+                for s in {*_numbered(list(t), "1"), *_numbered([t[k : k + 2] for k in range(len(t) - 1)], "2")}:
+                    total[_slot(s)] += 1
+        at = np.flatnonzero(total)
+        yield pd.DataFrame({"slot": at.astype("int32"), "n": total[at]})
+
+    counts = np.zeros(SLOTS, np.int64)
+    for r in values.select("text").mapInPandas(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect():  # at most SLOTS rows
+        counts[r["slot"]] = r["n"]
+    return counts
+
+
+def _with_signs(values: DataFrame, least: float, frequencies: np.ndarray) -> DataFrame:
+    """(block, text, sign) of each text and each of its signs."""
+
+    @F.pandas_udf("array<string>")
+    def signs(texts: pd.Series) -> pd.Series:
+        return pd.Series([signs_of(t, least, frequencies) for t in texts])
+
+    return values.select("block", "text", F.explode(signs(F.col("text"))).alias("sign"))
+
+
+def similar_values(values: DataFrame, least: float, parts: int = 8) -> DataFrame:
+    """(block, later, earlier) of the distinct texts of one block that are alike: likeness of ``later`` to ``earlier``,
+    which depends on the order; each pair is tested both ways.
+
+    ``values`` has block and text, distinct and not blank. Pairs are found through shared rare signs, which loses
+    none, and tested in batches. Signs that many texts share are split into ``parts`` on one side. Texts that are
+    equal are one value, so only different texts that are alike are paired.
     """
-    share = least / (2 - least)
-    characters = F.split(text, "")
-    sorted_ = F.array_sort(characters)
-    numbered = F.transform(sorted_, lambda c, i: F.struct(F.coalesce(F.element_at(counts, c), F.lit(0)).alias("n"), F.concat(c, (i - F.array_position(sorted_, c) + 1).cast("string")).alias("sign")))
-    keep = F.length(text) - F.ceil(F.length(text) * share - F.lit(1e-9)) + 1
-    return F.when(text == "", F.array(F.lit(""))).otherwise(F.transform(F.slice(F.array_sort(numbered), F.lit(1), keep.cast("int")), lambda s: s["sign"]))
-
-
-def _frequencies(texts: DataFrame) -> Column:
-    """Map of each character to the texts that have it: at most as many entries as Unicode has characters."""
-    rows = texts.select(F.explode(F.array_distinct(F.split("text", ""))).alias("c")).groupBy("c").agg(F.count("*").alias("n")).collect()
-    return F.map_from_arrays(F.array(*(F.lit(r["c"]) for r in rows)), F.array(*(F.lit(r["n"]) for r in rows))) if rows else F.create_map(F.lit(""), F.lit(0).cast("long"))
-
-
-def _pairs(nodes: DataFrame, column: str, least: float, blank_matches: bool) -> DataFrame:
-    """(day, early, late) of the nodes of one day that are alike in a column; likeness of the later to the earlier."""
-    texts = nodes.select("day", "rank", F.col(column).alias("text"))
-    if not blank_matches:
-        texts = texts.where("text <> ''")
-    counts = _frequencies(texts)
-    signs = texts.withColumn("sign", F.explode(_rare_signs(F.col("text"), counts, least)))
-    a, b = (signs.select("day", "sign", F.col("rank").alias(f"{x}"), F.col("text").alias(f"{x}_text")) for x in ("early", "late"))
-    near = a.join(b, ["day", "sign"]).where(F.col("early") < F.col("late"))
-    size = F.length("early_text") + F.length("late_text")
-    near = near.where(2 * F.least(F.length("early_text"), F.length("late_text")) >= least * size)
-    near = near.select("day", "early", "late", "early_text", "late_text").distinct()
-    return near.where(_pair_test(least)(F.col("late_text"), F.col("early_text"))).select("day", "early", "late")
+    values = stored(values, "values")
+    signs = stored(_with_signs(values, least, _frequencies(values)), "signs")
+    salt = F.pmod(F.xxhash64("text"), F.lit(parts)).cast("int")
+    a = signs.select("block", "sign", F.col("text").alias("later"), salt.alias("part"))
+    b = signs.select("block", "sign", F.col("text").alias("earlier"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+    size = F.length("later") + F.length("earlier")
+    near = a.join(b, ["block", "sign", "part"]).where((F.col("later") != F.col("earlier")) & (2 * F.least(F.length("later"), F.length("earlier")) >= least * size))
+    near = near.select("block", "later", "earlier").distinct()
+    return near.where(_pair_test(least)(F.col("later"), F.col("earlier")))
+
+
+def _salted(rows: DataFrame, small: DataFrame, keys: list[str], salts: int = 16) -> DataFrame:
+    """Left join with a table of one row a key, each of its rows spread over ``salts`` parts."""
+    left = rows.withColumn("__nl_salt", F.pmod(F.xxhash64("rank"), F.lit(salts)).cast("int"))
+    right = small.withColumn("__nl_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.join(right, [*keys, "__nl_salt"], "left").drop("__nl_salt")
+
+
+def _nearest(ranks: DataFrame, edges: DataFrame) -> DataFrame:
+    """(day, kind, text, first): of the rows of a text and of the texts that it is like, the first rank."""
+    own = ranks.groupBy("day", "kind", "text").agg(F.min("rank").alias("first"))
+    of_others = edges.join(own.withColumnRenamed("text", "earlier"), ["day", "kind", "earlier"]).select("day", "kind", F.col("later").alias("text"), "first")
+    return own.unionByName(of_others).groupBy("day", "kind", "text").agg(F.min("first").alias("first"))
 
 
 def cluster_events(articles: DataFrame, day: str = "daily_date", id_col: str = "pos", most_rounds: int = 60) -> DataFrame:
@@ -86,11 +154,12 @@ def cluster_events(articles: DataFrame, day: str = "daily_date", id_col: str = "
     point of the group so far; else a repetition.
 
     Needs title, ai_result and the two columns named; rows with a null day or id are left out, other nulls
-    count as empty or 0, repeated ids are not allowed; extra columns are ignored.
+    count as empty or 0, repeated ids are not allowed; extra columns are ignored. Blank titles are alike.
 
-    A day may have any number of articles. Articles with the same title and key are one node. Pairs are found
-    through shared rare signs, which loses none, and tested in batches. Who leads is settled in rounds over
-    all days at once: an article leads once no earlier one that it is like can lead.
+    Only different texts of a day are compared (``similar_values``); articles are never paired. Who leads is settled
+    in rounds over all days at once, by the first rank under each text: an open article leads once no earlier one
+    under its texts, or texts like them, is open and none leads. Joins with texts are salted, so a day, a title or an
+    event key may have any number of articles.
     """
     score = lambda p: F.coalesce(F.col(p).cast("int"), F.lit(0))
     own = articles.where(F.col(day).isNotNull() & F.col(id_col).isNotNull()).select(
@@ -101,47 +170,49 @@ def cluster_events(articles: DataFrame, day: str = "daily_date", id_col: str = "
         F.transform(F.coalesce("ai_result.unique_points", F.array().cast("array<string>")), lambda p: F.coalesce(normalize_title(p), F.lit(""))).alias("points"),
     )
     own = stored(own, "articles")
-    nodes = stored(own.groupBy("day", "title", "event").agg(F.min("rank").alias("rank")), "nodes")
-    edges = _pairs(nodes, "title", TITLE_LEAST, True).unionByName(_pairs(nodes, "event", EVENT_LEAST, False)).distinct()
+    # each article under its texts: its title, and its event key if there is one
+    cells = F.array(F.struct(F.lit("t").alias("kind"), F.col("title").alias("text")), F.struct(F.lit("e").alias("kind"), F.col("event").alias("text")))
+    links = stored(own.select("day", "rank", F.inline(cells)).where("kind = 't' or text <> ''"), "links")
+    texts = links.where("text <> ''").select("day", "kind", "text").distinct()
+    edges = None
+    for kind, least in (("t", TITLE_LEAST), ("e", EVENT_LEAST)):
+        found = similar_values(texts.where(F.col("kind") == kind).select(F.col("day").alias("block"), "text"), least)
+        found = found.select(F.col("block").alias("day"), F.lit(kind).alias("kind"), "later", "earlier")
+        edges = found if edges is None else edges.unionByName(found)
     edges = stored(edges, "edges")
-    waiting = edges
-    followers = None
-    leads = stored(nodes.select("day", "rank").join(edges.select("day", F.col("late").alias("rank")).distinct(), ["day", "rank"], "left_anti"), "leaders")
-    everyone = leads
+    open_, leaders = links, None
     for _ in range(most_rounds):
-        beaten = stored(waiting.join(leads.withColumnRenamed("rank", "early"), ["day", "early"], "left_semi").select("day", F.col("late").alias("rank")).distinct(), "followers")
-        followers = beaten if followers is None else followers.unionByName(beaten)
-        open_ = waiting.join(beaten.withColumnRenamed("rank", "late"), ["day", "late"], "left_anti")
-        left = stored(open_.join(beaten.withColumnRenamed("rank", "early"), ["day", "early"], "left_anti"), "waiting")
-        candidates = open_.select("day", F.col("late").alias("rank")).distinct()
-        leads = stored(candidates.join(left.select("day", F.col("late").alias("rank")).distinct(), ["day", "rank"], "left_anti"), "leaders")
-        waiting = left
-        if leads.isEmpty():
+        if open_.isEmpty():
             break
-        everyone = everyone.unionByName(leads)
+        met = _salted(open_, _nearest(open_, edges), ["day", "kind", "text"])
+        fresh = stored(met.groupBy("day", "rank").agg(F.bool_and(F.col("first") >= F.col("rank")).alias("leads")).where("leads").select("day", "rank"), "leaders")
+        fresh = stored(open_.join(fresh, ["day", "rank"], "left_semi"), "leading")
+        leaders = fresh if leaders is None else leaders.unionByName(fresh)
+        met = _salted(open_, _nearest(fresh, edges), ["day", "kind", "text"])
+        gone = met.groupBy("day", "rank").agg(F.bool_or(F.coalesce(F.col("first") <= F.col("rank"), F.lit(False))).alias("gone")).where("gone").select("day", "rank")
+        open_ = stored(open_.join(gone, ["day", "rank"], "left_anti"), "open")
     else:
         raise RuntimeError(f"leaders are still open after {most_rounds} rounds")
-    joined = edges.join(everyone.withColumnRenamed("rank", "early"), ["day", "early"], "left_semi").join(everyone.withColumnRenamed("rank", "late"), ["day", "late"], "left_anti")
-    group_of = joined.groupBy("day", F.col("late").alias("rank")).agg(F.min("early").alias("leader")).unionByName(everyone.withColumn("leader", F.col("rank")))
-    members = own.join(nodes.withColumnRenamed("rank", "_node"), ["day", "title", "event"]).join(group_of.withColumnRenamed("rank", "_node"), ["day", "_node"])
-    members = stored(members.select("day", "id", "rank", "leader", "points"), "members")
-    fresh = _fresh_points(members)
-    out = members.join(fresh, "id", "left")
+    leaders = links.limit(0) if leaders is None else leaders
+    met = _salted(links, _nearest(leaders, edges), ["day", "kind", "text"])
+    led = met.groupBy("day", "rank").agg(F.min("first").alias("leader"))
+    members = stored(own.join(led, ["day", "rank"]).select("day", "id", "rank", "leader", "points"), "members")
+    out = members.join(_fresh_points(members), "id", "left")
     status = F.when(F.col("rank") == F.col("leader"), MAIN).when(F.col("fresh"), INCREMENT).otherwise(REPETITION)
     return out.select(F.col("id").alias(id_col), F.col("day").alias(day), F.col("leader.id").alias("leader"), status.alias("status"))
 
 
 def _fresh_points(members: DataFrame) -> DataFrame:
-    """(id, fresh): articles that may be an increment and have a point unlike all that the group had before."""
-    able = members.where("-rank.b >= 4 and -rank.c >= 3 and size(points) > 0 and rank <> leader")
-    asked = able.select("day", "leader", "id", "rank", F.posexplode("points").alias("k", "point"))
-    had = members.select("day", "leader", F.explode("points").alias("old"), "rank").groupBy("day", "leader", "old").agg(F.min("rank").alias("since"))
-    met = asked.join(had, ["day", "leader"]).where(F.col("since") < F.col("rank"))
-    met = met.where((F.length("point") + F.length("old") == 0) | (2 * F.least(F.length("point"), F.length("old")) >= POINT_LEAST * (F.length("point") + F.length("old"))))
-    known = met.where(_pair_test(POINT_LEAST)(F.col("point"), F.col("old"))).select("id", "k").distinct()
-    return asked.join(known, ["id", "k"], "left_anti").select("id").distinct().withColumn("fresh", F.lit(True))
-
-
-def prefix_length(n: int, least: float) -> int:
-    """Number of rare signs of a text of n characters."""
-    return n - ceil(n * least / (2 - least) - 1e-9) + 1
+    """(id, fresh): articles that may be an increment and have a point unlike all that the group had before.
+
+    Points of a group are compared as different texts, each known since the first article that has it, or one
+    like it; blank points are alike.
+    """
+    points = stored(members.select(F.col("leader.id").alias("block"), "id", "rank", "leader", F.posexplode("points").alias("k", "text")), "points")
+    had = points.groupBy("block", "text").agg(F.min("rank").alias("since"))
+    alike = similar_values(points.where("text <> ''").select("block", "text").distinct(), POINT_LEAST)
+    of_others = alike.join(had.withColumnRenamed("text", "earlier"), ["block", "earlier"]).select("block", F.col("later").alias("text"), "since")
+    since = had.unionByName(of_others).groupBy("block", "text").agg(F.min("since").alias("since"))
+    asked = points.where("-rank.b >= 4 and -rank.c >= 3 and rank <> leader")
+    met = _salted(asked, since, ["block", "text"])
+    return met.groupBy("id").agg(F.bool_or(~(F.col("since") < F.col("rank"))).alias("fresh")).where("fresh")

@@ -35,29 +35,34 @@ def last_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.max(row).alias("__nl_row")).select(*(F.col(c) if c in keys else F.col(f"__nl_row.{c}").alias(c) for c in df.columns))
 
 
-def either_key(df: DataFrame, keys: list[Column], best: list[Column], id_col: str = "pos", most_rounds: int = 60) -> DataFrame:
+def either_key(df: DataFrame, keys: list[Column], best: list[Column], id_col: str = "pos", most_rounds: int = 60, salts: int = 16) -> DataFrame:
     """Rows that remain when rows are taken best first and dropped if any of their keys is a kept row's.
 
     The order is ``best`` descending, then id; null and blank keys match nothing. Kept rows are the first,
     in that order, among their neighbours; this is worked out in rounds over all rows at once: whoever is first
-    under each of its keys is kept, whoever then shares a key with a kept row is dropped. Each round is two
-    aggregations by key with partial sums; a written table cuts the lineage.
+    under each of its keys is kept, whoever then shares a key with a kept row is dropped.
+
+    A round sends back what it needs by aggregation: the first row of each key, by partial sums, and from these how
+    many keys a row leads. Only the keys of kept rows are joined to the rows, each spread over ``salts`` parts, so
+    a key that a third of all rows share gathers nowhere. A written table cuts the lineage. Chains of more than
+    ``most_rounds`` undecided rows are settled with more rounds (the parameter); beyond it, an error.
     """
     order = F.struct(*(b.alias(f"b{i}") for i, b in enumerate(best)), (-F.col(id_col)).alias("id"))
-    cells = [F.when(F.coalesce(k, F.lit("")) != "", F.concat(F.lit(f"{i}:"), k)) for i, k in enumerate(keys)]
-    links = df.select(F.col(id_col).alias("id"), order.alias("order"), F.explode_outer(F.array_compact(F.array(*cells))).alias("key"))
-    free = stored(links.where("key is null").select("id").distinct(), "kept")
-    open_links, kept, spark = stored(links.where("key is not null"), "links"), [free], df.sparkSession
+    cells = F.array_compact(F.array(*(F.when(F.coalesce(k, F.lit("")) != "", F.xxhash64(F.lit(i), k)) for i, k in enumerate(keys))))
+    own = stored(df.select(F.col(id_col).alias("id"), order.alias("order"), cells.alias("cells")), "keys")
+    kept = [own.where("size(cells) = 0").select("id")]
+    open_ = own.where("size(cells) > 0")
     for _ in range(most_rounds):
-        if open_links.isEmpty():
+        if open_.isEmpty():
             break
-        firsts = open_links.groupBy("key").agg(F.max("order").alias("first"))
-        led = open_links.join(firsts, "key").groupBy("id").agg(F.min((F.col("order") == F.col("first")).cast("int")).alias("leads")).where("leads = 1").select("id")
-        led = stored(led, "kept")
+        links = open_.select("id", "order", F.size("cells").alias("n"), F.explode("cells").alias("key"))
+        firsts = stored(links.groupBy("key").agg(F.max(F.struct("order", "id", "n")).alias("first")).select("key", "first.id", "first.n"), "firsts")
+        led = stored(firsts.groupBy("id", "n").agg(F.count("*").alias("led")).where("led = n").select("id"), "kept")
         kept.append(led)
-        taken = open_links.join(led, "id", "left_semi").select("key").distinct()
-        gone = open_links.join(taken, "key", "left_semi").select("id").distinct()
-        open_links = stored(open_links.join(gone, "id", "left_anti"), "links")
+        taken = firsts.join(led, "id", "left_semi").select("key", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+        salted = links.select("id", "key", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int").alias("salt"))
+        gone = salted.join(taken, ["key", "salt"], "left_semi").select("id").distinct()
+        open_ = stored(open_.join(gone, "id", "left_anti"), "keys")
     else:
         raise RuntimeError(f"rows are still open after {most_rounds} rounds")
     ids = kept[0]

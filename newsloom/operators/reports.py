@@ -69,3 +69,20 @@ def run_totals(sources: DataFrame, counters: list[str], write_failed: int = 0, c
     A run from the cache is partial only by failed writes."""
     out = sources.agg(*(F.sum(c).cast("long").alias(c) for c in counters), F.coalesce(F.bool_or(~F.col("complete") | F.col("all_failed")), F.lit(False)).alias("_troubled"))
     return out.withColumn("partial", F.lit(write_failed > 0) | (F.lit(False) if cached_only else F.col("_troubled"))).drop("_troubled")
+
+
+def latest_or_default(rows: DataFrame, order: str, columns: dict[str, Column]) -> DataFrame:
+    """One row: the columns of the last row by ``order`` (then by the columns), or the defaults of ``columns`` if there is
+    no row."""
+    last = rows.agg(F.max(F.struct(order, *columns)).alias("_r"))
+    return last.select(*(F.when(F.col("_r").isNull(), d).otherwise(F.col(f"_r.{c}")).alias(c) for c, d in columns.items()))
+
+
+def as_json(report: DataFrame, out: str = "report") -> DataFrame:
+    """Each row as one JSON text, nulls left out."""
+    return report.select(F.to_json(F.struct(*report.columns)).alias(out))
+
+
+def write_times(rows: DataFrame, at: str) -> DataFrame:
+    """One row: first and last time of writing."""
+    return rows.agg(F.min(at).alias("first_write_at"), F.max(at).alias("last_write_at"))

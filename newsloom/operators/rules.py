@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from newsloom.functions.text import PROMOTION_WORDS, excluded_title, has_any, numbers_with_units, plain_numbers, strip, visible_chars
+from newsloom.functions.text import PROMOTION_WORDS, bound, excluded_title, has_any, numbers_with_units, plain_numbers, strip, visible_chars
 
 #: What stands in a summary that says too little, placeholders, judgements, and who is affected.
 NO_EVIDENCE = "证据不足，无法生成可靠摘要"
@@ -47,7 +47,7 @@ def admission(title: Column, body: Column, excluded: Column | None = None, least
 
 def is_challenge(text: Column) -> Column:
     """Whether a text is a page that asks whether the reader is human."""
-    return has_any(F.lower(text), CHALLENGES)
+    return bound(F.lower(text), lambda low: has_any(low, CHALLENGES))
 
 
 def valid_body(text: Column, least: int = 300, most: int = 12_000) -> Column:
@@ -107,3 +107,35 @@ def signal_summary_problem(summary: Column, evidence: Column, least: int = 80, m
         .when(has_any(text, PLACEHOLDERS), "placeholder").when(has_any(text, JUDGEMENTS), "judgement")
         .when(~has_any(text, AFFECTED), "impact").when(invented > 0, "number").otherwise("")
     )
+
+
+def valid_cached(summary: Column, topics: Column, meta: Column, versions: dict[str, str], selected: str = "selected", least: int = 80, most: int = 150) -> Column:
+    """Whether a cached signal can be used as it is: a summary of the right length, a topic, all versions as they are now
+    and chosen by the model. Null cells make it unusable."""
+    fine = visible_chars(summary).between(least, most) & (F.size(F.coalesce(topics, F.array().cast("array<string>"))) > 0)
+    return F.coalesce(fine & _stamped(meta, versions, selected), F.lit(False))
+
+
+def valid_rejection(meta: Column, versions: dict[str, str], rejected: str = "rejected") -> Column:
+    """Whether a cached signal was turned down by all versions as they are now."""
+    return F.coalesce(_stamped(meta, versions, rejected), F.lit(False))
+
+
+def _stamped(meta: Column, versions: dict[str, str], status: str) -> Column:
+    out = meta["ai_status"] == status
+    for name, version in versions.items():
+        out = out & (meta[name] == version)
+    return out
+
+
+def cached_admission(status: Column, content: Column, selected: str = "selected", least: int = 300, most: int = 500, parts: int = 3) -> Column:
+    """Whether a cached summary may be delivered without asking the model: chosen, of the right length and number of
+    paragraphs."""
+    return F.coalesce((status == selected) & visible_chars(content).between(least, most) & (F.size(paragraphs(F.coalesce(content, F.lit("")))) == parts), F.lit(False))
+
+
+def still_pending(status: Column, source: Column, day: Column, title: Column, url: Column, statuses: list[str], sources: list[str], cutoff: Column) -> Column:
+    """Whether a record waits for another try: a waiting status, a known source, a day no earlier than the cutoff, and a
+    title and an address that are not empty."""
+    there = (F.coalesce(title, F.lit("")) != "") & (F.coalesce(url, F.lit("")) != "")
+    return F.coalesce(status.isin(statuses) & source.isin(sources) & (day >= cutoff), F.lit(False)) & there

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.functions.dates import day_bounds, local_day
-from newsloom.functions.text import clean_text, content_hash, normalize_title, normalize_url, numbers_with_units, sentences, visible_chars
+from newsloom.functions.text import PROMOTION_WORDS, TITLE_EXCLUSIONS, clean_text, content_hash, normalize_title, normalize_url, numbers_with_units, sentences, visible_chars
 from newsloom.operators.clustering import cluster_events
 from newsloom.operators.dedupe import best_per_key, either_key, last_per_key
 from newsloom.operators.evidence import best_sentences, chunk_texts, evidence_packets
@@ -22,6 +22,7 @@ from newsloom.sources.sinks import audit_migration, backfill_days, invalid_after
 #: Parameters of the queries over the test tables: order of sources, the one with every second turn, a day.
 SOURCE_ORDER = ["灯塔周报", "青木财经", "北麓观察", "数光日志", "Harbor Wire", "The Counting Shed"]
 PRIMARY = "灯塔周报"
+QUIET = "Night Shift Retail"
 DAY, TODAY = "2026-03-01", "2026-03-09"
 CATEGORIES = ["政策", "成长", "财经"]
 
@@ -89,7 +90,7 @@ def evidence(spark, sf):
 
 
 def text_chunks(spark, sf):
-    return chunk_texts(_t(spark, sf, "documents"), "doc_id", "text", 2000)
+    return chunk_texts(dealt(_t(spark, sf, "documents")), "doc_id", "text")
 
 
 def local_day_counts(spark, sf):
@@ -163,7 +164,8 @@ def retry_queue(spark, sf):
 
 
 def days_without_articles(spark, sf):
-    have = _articles(spark, sf).select(local_day(F.col("fetched_at")).alias("day"))
+    """Days of a quarter without an article of one source."""
+    have = _articles(spark, sf).where(F.col("source") == QUIET).select(local_day(F.col("fetched_at")).alias("day"))
     return missing_days(F.lit("2026-01-01").cast("date"), F.lit("2026-03-31").cast("date"), have, "day").select(F.col("day").cast("string").alias("day"))
 
 
@@ -172,10 +174,10 @@ def addresses_not_written(spark, sf):
 
 
 def written_differently(spark, sf):
-    records = _keyed_records(spark, sf).where("title_key is not null")
-    written = last_per_key(records.select("title_key", "scan_pos", "source_name", "published_ms"), ["title_key"], ["scan_pos"])
-    first = records.select("title_key", (-F.col("scan_pos")).alias("scan_pos"), "source_name", "published_ms")
-    return invalid_after_write(written, last_per_key(first, ["title_key"], ["scan_pos"]), "title_key", ["source_name", "published_ms"])
+    """Addresses of articles whose record is missing or has another title or source."""
+    rows = _keyed_articles(spark, sf).where("url_key is not null").select("url_key", "pos", "title", F.col("source").alias("source_name"))
+    records = _keyed_records(spark, sf).where("url_key is not null").select("url_key", "scan_pos", "title", "source_name")
+    return invalid_after_write(last_per_key(rows, ["url_key"], ["pos"]), last_per_key(records, ["url_key"], ["scan_pos"]), "url_key", ["title", "source_name"])
 
 
 def round_robin_digest(spark, sf):
@@ -216,7 +218,7 @@ def verdict_status_counts(spark, sf):
 
 def record_content_checks(spark, sf):
     """Numbers are checked against the longest article of the record's address, else of its title; a record without an article has nothing to check them against."""
-    numbers = F.array_join(numbers_with_units(F.concat_ws("\n", "title", "body")), "\n")
+    numbers = F.array_join(F.array_sort(numbers_with_units(F.concat_ws("\n", "title", "body"))), "\n")
     articles = dealt(_articles(spark, sf).where("body is not null").select("url", "title", "body"))
     articles = stored(_with_keys(articles, "url", "title").select("url_key", "title_key", F.struct(F.length("body").alias("n"), numbers.alias("numbers")).alias("known")), "known")
     longest = lambda k: articles.where(F.col(k).isNotNull()).groupBy(k).agg(F.max("known").alias(f"by_{k}"))
@@ -277,8 +279,8 @@ _START, _END = f"(TIMESTAMP '{DAY} 00:00:00' - INTERVAL 8 HOUR)", f"(TIMESTAMP '
 _F = S.utc("fetched_at")
 _ADMITTED = f"""SELECT pos, source, CASE WHEN why <> '' THEN 'excluded' WHEN text = '' THEN 'error' WHEN length(text) < 400 THEN 'excluded' WHEN promo THEN 'excluded' ELSE 'ok' END AS outcome,
   CASE WHEN why <> '' THEN why WHEN text = '' THEN 'empty' WHEN length(text) < 400 THEN 'short' WHEN promo THEN 'promotion' ELSE '' END AS reason
-FROM (SELECT pos, source, text, coalesce(nullif(excluded_reason, ''), nullif(list_filter(['广告', '推广', '招商', '加盟', '优惠券', '领券', '到手价', '探新低', '官方狂促', '限时秒杀', '应用限免', '运势', '星座', '会员通知', '网站公告'], lambda w: contains(replace(title, ' ', ''), w))[1], ''), '') AS why,
-  len(list_filter(['领券购买', '立即下单', '限时优惠', '品牌赞助', '推广合作'], lambda w: contains(coalesce(title, '') || chr(10) || text[1:800], w))) > 0 AS promo
+FROM (SELECT pos, source, text, coalesce(nullif(excluded_reason, ''), nullif(list_filter({S.words(TITLE_EXCLUSIONS)}, lambda w: contains(replace(title, ' ', ''), w))[1], ''), '') AS why,
+  len(list_filter({S.words(PROMOTION_WORDS)}, lambda w: contains(coalesce(title, '') || chr(10) || text[1:800], w))) > 0 AS promo
   FROM (SELECT *, {S.clean("coalesce(body, '')")} AS text FROM articles))"""
 _INDEX = lambda k: f"SELECT {k}, arg_max(record_id, scan_pos) AS record_id, arg_max(title, scan_pos) AS title, arg_max(source_name, scan_pos) AS source_name, true AS there FROM ({R_KEYS}) WHERE {k} IS NOT NULL GROUP BY {k}"
 _ORDER = "CASE source " + " ".join(f"WHEN '{s}' THEN {i}" for i, s in enumerate(SOURCE_ORDER)) + f" ELSE {len(SOURCE_ORDER)} END"
@@ -288,8 +290,9 @@ SELECT pos, CAST(daily_date AS VARCHAR) AS day, row_number() OVER (PARTITION BY
 _SENTENCES = f"""SELECT pos, section, position, sentence FROM (SELECT pos, section, unnest(range(len(parts))) AS position, unnest(parts) AS sentence FROM (SELECT pos, section, list_filter(list_transform(string_split(regexp_replace(line, '([。！？；])', '\\1' || chr(1), 'g'), chr(1)), lambda p: {S.strip('p')}), lambda p: p <> '') AS parts
 FROM (SELECT pos, unnest(range(len(ls))) AS section, unnest(ls) AS line FROM (SELECT pos, list_filter(list_transform(string_split_regex({S.clean('body')}, '\\n+'), lambda s: {S.strip('s')}), lambda s: s <> '') AS ls FROM articles WHERE body IS NOT NULL)))) WHERE length(sentence) BETWEEN 12 AND 600"""
 _BLANK = lambda c: f"trim(coalesce({c}, '')) = ''"
-_REPAIR = f"""SELECT r.record_id, CASE WHEN {_BLANK('r.title')} AND better IS NOT NULL THEN better ELSE r.title END AS title, {_BLANK('r.title')} AND better IS NOT NULL AS repaired FROM (SELECT r.*, coalesce(CASE WHEN NOT {_BLANK('r.backup_title')} THEN r.backup_title END, k.found) AS better FROM (SELECT * FROM records WHERE NOT starts_with(coalesce(url_cell, ''), '{{')) r
-LEFT JOIN (SELECT {S.url_key('url')} AS u, min(title) AS found FROM articles WHERE url IS NOT NULL AND NOT {_BLANK('title')} GROUP BY 1) k ON {S.url_key('r.url_cell')} = k.u) r"""
+_CELL = f"CASE WHEN starts_with({S.strip('url_cell')}, '{{') THEN coalesce(nullif(json_extract_string(url_cell, '$.link'), ''), nullif(json_extract_string(url_cell, '$.url'), ''), json_extract_string(url_cell, '$.text'), url_cell) ELSE {S.strip('url_cell')} END"
+_REPAIR = f"""SELECT r.record_id, CASE WHEN {_BLANK('r.title')} AND better IS NOT NULL THEN better ELSE r.title END AS title, {_BLANK('r.title')} AND better IS NOT NULL AS repaired FROM (SELECT r.*, coalesce(CASE WHEN NOT {_BLANK('r.backup_title')} THEN r.backup_title END, k.found) AS better FROM (SELECT *, {_CELL} AS cell FROM records) r
+LEFT JOIN (SELECT {S.url_key('url')} AS u, min(title) AS found FROM articles WHERE url IS NOT NULL AND NOT {_BLANK('title')} GROUP BY 1) k ON {S.url_key('r.cell')} = k.u) r"""
 _TOTAL = "(CASE WHEN " + " AND ".join(f"coalesce(s.{k} BETWEEN 0 AND 5, false)" for k in ("importance", "information_gain", "social_impact", "actionability", "evidence_density")) + " THEN s.importance + s.information_gain + s.social_impact + s.actionability + s.evidence_density END)"
 _SCORED = f"""SELECT a.pos, x.section, x.position, x.sentence, CAST(3 * len(list_filter(terms, lambda t: contains(sentence, t))) + CASE WHEN regexp_matches(sentence, '\\p{{Nd}}') THEN 3 ELSE 0 END + CASE WHEN regexp_matches(sentence, '增长|下降|发布|推出|收购|融资|监管|禁止|开放|调整|裁员|上调|下调|新增|减少') THEN 2 ELSE 0 END
 + CASE WHEN regexp_matches(sentence, '公司|集团|平台|政府|委员会|部门|银行|机构|国家|市场|行业|企业|品牌') THEN 2 ELSE 0 END + CASE WHEN position < 3 THEN 2 ELSE 0 END + CASE WHEN regexp_matches(sentence, '因此|导致|影响|意味着|相比|但|同时|预计|可能|风险|机会') THEN 1 ELSE 0 END AS INTEGER) AS score
@@ -312,14 +315,16 @@ ORACLES: dict[str, str] = {
     "outcomes_by_source": f"SELECT *, failed >= 2 AND ok = 0 AS all_failed FROM ({_OUTCOMES})",
     "longest_body": f"SELECT pos, n FROM (SELECT pos, {_LONG} AS n, row_number() OVER (PARTITION BY {S.url_key("coalesce(url, '')")}, {S.title_key("coalesce(title, '')")} ORDER BY {_LONG} DESC, pos) AS rn FROM articles) WHERE rn = 1",
     "first_seen_addresses": f"SELECT min(pos) AS pos FROM articles WHERE trim(url) <> '' GROUP BY {S.url_key('url')}",
+    "either_key_dedupe": f"""WITH RECURSIVE o AS MATERIALIZED (SELECT row_number() OVER (ORDER BY {_LONG} DESC, pos) AS k, pos, list_filter([CASE WHEN url_key IS NOT NULL THEN hash('u' || url_key) END, CASE WHEN title_key IS NOT NULL THEN hash('t' || title_key) END], lambda x: x IS NOT NULL) AS cells FROM ({A_KEYS})),
+r AS (SELECT CAST(0 AS BIGINT) AS k, CAST(NULL AS BIGINT) AS pos, false AS kept, CAST([] AS UBIGINT[]) AS seen UNION ALL SELECT o.k, o.pos, NOT list_has_any(seen, cells), CASE WHEN list_has_any(seen, cells) THEN seen ELSE list_concat(seen, cells) END FROM r JOIN o ON o.k = r.k + 1) SELECT pos FROM r WHERE kept""",
     "existing_match": f"SELECT a.pos, coalesce(u.record_id, t.record_id) AS matched FROM ({A_KEYS}) a LEFT JOIN ({_INDEX('url_key')}) u ON a.url_key = u.url_key LEFT JOIN ({_INDEX('title_key')}) t ON a.title_key = t.title_key",
     "unseen_articles": f"SELECT pos FROM ({A_KEYS}) a WHERE NOT EXISTS (SELECT 1 FROM ({R_KEYS}) r WHERE r.url_key = a.url_key) AND NOT EXISTS (SELECT 1 FROM ({R_KEYS}) r WHERE r.title_key = a.title_key)",
     "record_index": f"SELECT url_key, max(scan_pos) AS scan_pos, arg_max(record_id, scan_pos) AS record_id FROM ({R_KEYS}) WHERE url_key IS NOT NULL GROUP BY url_key",
     "upsert_actions": f"SELECT a.pos, CASE WHEN u.there THEN u.record_id ELSE t.record_id END AS record_id, CASE WHEN u.there IS NULL AND t.there IS NULL THEN 'insert' WHEN a.title IS NOT DISTINCT FROM (CASE WHEN u.there THEN u.title ELSE t.title END) AND a.source IS NOT DISTINCT FROM (CASE WHEN u.there THEN u.source_name ELSE t.source_name END) THEN 'unchanged' ELSE 'update' END AS action FROM ({A_KEYS}) a LEFT JOIN (SELECT url_key, max_by(record_id, scan_pos) AS record_id, (max_by(struct_pack(t := title), scan_pos)).t AS title, max_by(source_name, scan_pos) AS source_name, true AS there FROM ({R_KEYS}) WHERE url_key IS NOT NULL GROUP BY url_key) u ON a.url_key = u.url_key LEFT JOIN (SELECT title_key, max_by(record_id, scan_pos) AS record_id, (max_by(struct_pack(t := title), scan_pos)).t AS title, max_by(source_name, scan_pos) AS source_name, true AS there FROM ({R_KEYS}) WHERE title_key IS NOT NULL GROUP BY title_key) t ON a.title_key = t.title_key",
     "retry_queue": f"WITH a AS ({A_KEYS}), c AS (SELECT url_key, pos FROM a WHERE url_key IS NOT NULL AND batch_no = 12) SELECT pos FROM c UNION ALL SELECT pos FROM a WHERE url_key IS NOT NULL AND batch_no < 12 AND batch_no >= 10 AND ai_result IS NULL AND url_key NOT IN (SELECT url_key FROM c)",
-    "days_without_articles": f"SELECT CAST(d AS VARCHAR) AS day FROM (SELECT CAST(unnest(generate_series(DATE '2026-01-01', DATE '2026-03-31', INTERVAL 1 DAY)) AS DATE) AS d) WHERE d NOT IN (SELECT {S.local_day('fetched_at')} FROM articles)",
+    "days_without_articles": f"SELECT CAST(d AS VARCHAR) AS day FROM (SELECT CAST(unnest(generate_series(DATE '2026-01-01', DATE '2026-03-31', INTERVAL 1 DAY)) AS DATE) AS d) WHERE d NOT IN (SELECT {S.local_day('fetched_at')} FROM articles WHERE source = '{QUIET}')",
     "addresses_not_written": f"SELECT DISTINCT url_key FROM ({A_KEYS}) WHERE url_key IS NOT NULL AND url_key NOT IN (SELECT url_key FROM ({R_KEYS}) WHERE url_key IS NOT NULL)",
-    "written_differently": f"SELECT title_key FROM (SELECT title_key, max_by(struct_pack(s := source_name, p := published_ms), scan_pos) AS w, min_by(struct_pack(s := source_name, p := published_ms), scan_pos) AS t FROM ({R_KEYS}) WHERE title_key IS NOT NULL GROUP BY title_key) WHERE w IS DISTINCT FROM t",
+    "written_differently": f"SELECT a.url_key FROM (SELECT url_key, arg_max(struct_pack(t := title, s := source), pos) AS w FROM ({A_KEYS}) WHERE url_key IS NOT NULL GROUP BY url_key) a LEFT JOIN (SELECT url_key, arg_max(struct_pack(t := title, s := source_name), scan_pos) AS w FROM ({R_KEYS}) WHERE url_key IS NOT NULL GROUP BY url_key) r USING (url_key) WHERE a.w IS DISTINCT FROM r.w",
     "round_robin_digest": _DIGEST,
     "plain_round_robin": f"SELECT pos, CAST(daily_date AS VARCHAR) AS day, row_number() OVER (PARTITION BY daily_date ORDER BY rk, o) AS place FROM (SELECT pos, daily_date, row_number() OVER (PARTITION BY daily_date, source ORDER BY pos DESC) AS rk, {_ORDER} AS o FROM articles WHERE daily_date IS NOT NULL) WHERE o < {len(SOURCE_ORDER)}",
     "daily_top": f"SELECT * FROM ({_DIGEST}) WHERE place <= 5",
@@ -327,7 +332,9 @@ ORACLES: dict[str, str] = {
     "write_batches_of_50": "SELECT pos, CAST(floor((row_number() OVER (ORDER BY pos) - 1) / 50) AS BIGINT) AS batch FROM articles",
     "verdicts": f"SELECT pos, CAST({_TOTAL} AS BIGINT) AS total, coalesce((r.status = 'selected' AND s.evidence_density >= 3 AND s.information_gain >= 3 AND {_TOTAL} >= 13) OR (s.information_gain >= 4 AND s.evidence_density >= 3), false) AND {_TOTAL} IS NOT NULL AS valuable, coalesce(r.reason, '')[1:30] AS reason, coalesce(r.event_key, '')[1:40] AS event_key, coalesce(array_to_string(list_transform(r.topics, lambda t: t[1:20])[1:3], '|'), '') AS topics, coalesce(array_to_string(r.unique_points[1:3], '|'), '') AS points, CASE WHEN r.category IN ('政策', '成长', '财经') THEN r.category ELSE '社会' END AS category FROM (SELECT pos, ai_result AS r, ai_result.scores AS s FROM articles WHERE ai_result IS NOT NULL)",
     "verdict_status_counts": "SELECT source, count(*) FILTER (WHERE st = 'selected') AS selected, count(*) FILTER (WHERE st = 'reject') AS reject, count(*) FILTER (WHERE st = 'none') AS none FROM (SELECT source, coalesce(ai_result.status, 'none') AS st FROM articles) GROUP BY source",
-    "record_content_checks": f"SELECT record_id, CASE WHEN content = '证据不足，无法生成可靠摘要' THEN 'insufficient' WHEN contains(content, '相关时间') OR contains(content, '相关数值') THEN 'placeholder' WHEN {S.visible('content')} NOT BETWEEN 80 AND 300 THEN 'length' WHEN len(list_filter(list_transform(string_split_regex(content, '\\n+'), lambda p: {S.strip('p')}), lambda p: p <> '')) <> 3 THEN 'paragraphs' ELSE '' END AS problem FROM records WHERE content IS NOT NULL",
+    "record_content_checks": f"""WITH k AS (SELECT url_key, title_key, struct_pack(n := length(body), x := array_to_string(list_sort({S.numbers("concat_ws(chr(10), title, body)")}), chr(10))) AS v FROM ({A_KEYS}) WHERE body IS NOT NULL), u AS (SELECT url_key, max(v) AS v FROM k WHERE url_key IS NOT NULL GROUP BY 1), t AS (SELECT title_key, max(v) AS v FROM k WHERE title_key IS NOT NULL GROUP BY 1)
+SELECT record_id, CASE WHEN content = '证据不足，无法生成可靠摘要' THEN 'insufficient' WHEN contains(content, '相关时间') OR contains(content, '相关数值') THEN 'placeholder' WHEN {S.visible('content')} NOT BETWEEN 80 AND 300 THEN 'length' WHEN len(list_filter(list_transform(string_split_regex(content, '\\n+'), lambda p: {S.strip('p')}), lambda p: p <> '')) <> 3 THEN 'paragraphs'
+WHEN len(list_filter({S.numbers('content')}, lambda x: NOT list_contains(known, x))) > 0 THEN 'number' ELSE '' END AS problem FROM (SELECT r.record_id, r.content, {S.numbers("coalesce(u.v.x, t.v.x, r.content)")} AS known FROM ({R_KEYS}) r LEFT JOIN u ON u.url_key = r.url_key LEFT JOIN t ON t.title_key = r.title_key WHERE r.content IS NOT NULL)""",
     "source_staleness": f"SELECT true AS all_ok, bool_and(n > 0) AS all_scanned, CAST(sum(d) AS BIGINT) AS discovered, CAST(max(l) AS VARCHAR) AS latest_day, bool_and(n > 0) AND sum(d) = 0 AND max(l) < DATE '{TODAY}' AND DATE '{TODAY}' < DATE '2026-12-31' AS stale FROM (SELECT source, count(*) AS n, count(*) FILTER (WHERE {S.local_day('fetched_at')} = DATE '{TODAY}') AS d, max({S.local_day('fetched_at')}) AS l FROM articles GROUP BY source)",
     "records_audit": f"WITH r AS ({R_KEYS}) SELECT 'status ' || coalesce(status, '') AS measure, count(*) AS value FROM r GROUP BY 1 UNION ALL SELECT 'rows', count(*) FROM r UNION ALL SELECT 'shortest', min(nullif(length(coalesce(content, '')), 0)) FROM r UNION ALL SELECT 'longest', max(nullif(length(coalesce(content, '')), 0)) FROM r UNION ALL SELECT 'missing title', count(*) FILTER (WHERE {_BLANK('title')}) FROM r UNION ALL SELECT 'missing content', count(*) FILTER (WHERE {_BLANK('content')}) FROM r UNION ALL SELECT 'duplicate url', coalesce(count(url_key) - count(DISTINCT url_key), 0) FROM r UNION ALL SELECT 'duplicate title', coalesce(count(title_key) - count(DISTINCT title_key), 0) FROM r",
     "latest_of_source": "SELECT source, max_by(pos, struct_pack(t := epoch_us(fetched_at), p := pos)) AS pos FROM articles GROUP BY source",

@@ -11,13 +11,14 @@ from newsloom.functions.text import cell_text, has_any, plain_numbers, signal_id
 from newsloom.operators.cache import cache_counters, cache_key, cached_results, last_writes, merged
 from newsloom.operators.evidence import fitted_summary
 from newsloom.operators.matching import merge_keyed, stale, write_counts
+from newsloom.operators.model import known_text
 from newsloom.operators.rules import signal_summary_problem
 from newsloom.operators.schedule import latest_run, next_action, oldest_missing_day
 from newsloom.plans import sql as S
-from newsloom.session import new_path
+from newsloom.session import dealt, new_path
 from newsloom.sources.registry import enabled_specs, sources_by_country
 from newsloom.sources.sinks import signal_rows
-from newsloom.streaming.daily import daily_counts
+from newsloom.streaming.daily import daily_counts, flush_into, read_flushed
 from newsloom.streaming.recovery import replay
 
 #: Parameters of the queries over the test tables.
@@ -57,9 +58,7 @@ def plain_number_tokens(spark, sf):
 
 def signal_summary_checks(spark, sf):
     """What a summary may take its numbers from is the title, the time of publication and the evidence."""
-    at = F.col("published_at")
-    parts = F.when(F.unix_micros(at) % 1_000_000 == 0, F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss")).otherwise(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
-    known = F.concat_ws("\n", F.col("title"), F.concat(parts, F.lit("+00:00")), F.col("evidence"))
+    known = known_text(F.col("title"), F.col("published_at"), F.col("evidence"))
     return _signals(spark, sf).select("signal_id", signal_summary_problem(F.col("summary_zh"), known, 20, 150).alias("problem")).distinct()
 
 
@@ -71,7 +70,7 @@ def signals_of_country(spark, sf):
     """Range scan with an array test, latest first."""
     since = F.timestamp_micros(F.lit(1767225600000000))
     rows = _signals(spark, sf).where((F.col("published_at") >= since) & F.array_contains("countries", "us"))
-    return rows.groupBy("signal_id").agg(F.max("heat").alias("heat"), F.unix_micros(F.max("published_at")).alias("published_us"))
+    return rows.groupBy("signal_id").agg(F.max("heat").alias("heat"), F.unix_micros(F.max("published_at")).alias("published_us")).orderBy(F.desc("published_us"), "signal_id")
 
 
 def signals_by_ids(spark, sf):
@@ -81,8 +80,8 @@ def signals_by_ids(spark, sf):
 
 def country_type_gate(spark, sf):
     """Countries with at least two types of signals."""
-    spread = _signals(spark, sf).select(F.explode("countries").alias("country"), "signal_type")
-    return spread.groupBy("country").agg(F.count_distinct("signal_type").alias("types"), F.count("*").alias("signals")).where("types >= 2")
+    each = _signals(spark, sf).select(F.explode("countries").alias("country"), "signal_type")
+    return each.groupBy("country").agg(F.count_distinct("signal_type").alias("types"), F.count("*").alias("signals")).where("types >= 2")
 
 
 def source_states(spark, sf):
@@ -134,7 +133,7 @@ def document_links(spark, sf):
 
 
 def markup_texts(spark, sf):
-    return _t(spark, sf, "documents").where("text like '%<a %'").select("doc_id", html_text(F.col("text"), F.lit(None).cast("string")).alias("text"))
+    return dealt(_t(spark, sf, "documents").where("text is not null").select("doc_id", "text")).select("doc_id", html_text(F.col("text"), F.lit(None).cast("string")).alias("text"))
 
 
 def fitted_summaries(spark, sf):
@@ -151,15 +150,16 @@ def batch_daily_counts(spark, sf):
 
 
 def stream_daily_counts(spark, sf):
-    """The same counts from a stream over the table's files, run to its end."""
+    """The same counts from a stream over the table's files, run to its end: each batch sends the counts that it changed,
+    which are merged by key into a table."""
+    landed, table = new_path(spark, "landed"), new_path(spark, "counts")
     source = _t(spark, sf, "events")
-    landed = new_path(spark, "landed")
     source.write.parquet(landed)
     stream = spark.readStream.schema(source.schema).parquet(landed)
-    name = f"daily_{abs(hash(landed))}"
-    query = daily_counts(stream, by=["event_type"]).writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", new_path(spark, "stream")).trigger(availableNow=True).start()
+    flush = flush_into(table, ["day", "event_type"], ["n"])
+    query = daily_counts(stream, by=["event_type"]).writeStream.outputMode("update").foreachBatch(flush).option("checkpointLocation", new_path(spark, "stream")).trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.table(name).select(F.col("day").cast("string").alias("day"), "event_type", "n")
+    return read_flushed(spark, table, ["day", "event_type"], ["n"]).select(F.col("day").cast("string").alias("day"), "event_type", "n")
 
 
 def recovery_states(spark, sf):
@@ -194,7 +194,7 @@ def recovery_windows(spark, sf):
 
 
 def event_names(spark, sf):
-    return _t(spark, sf, "records").where("published_ms is not null").select("record_id", event_id(F.timestamp_millis("published_ms"), F.col("record_id"), F.col("published_ms").cast("string")).alias("event"))
+    return _t(spark, sf, "records").where("published_ms is not null").select("record_id", event_id(F.col("record_id"), F.col("published_ms")).alias("event"))
 
 
 _CACHE = f"""SELECT cache_key, max(CASE WHEN stage = 'filter' THEN st END) AS f, max(CASE WHEN stage = 'filter' THEN sc END) AS fs, max(CASE WHEN stage = 'summary' THEN st END) AS s, max(CASE WHEN stage = 'summary' THEN sc END) AS ss
@@ -202,6 +202,7 @@ FROM (SELECT cache_key, stage, json_extract_string(j, '$.status') AS st, CAST(js
 _CLASSES = f"SELECT pos, CASE WHEN f IS NOT NULL AND f <> 'selected' THEN 'rejected' WHEN f = 'selected' AND s IS NOT NULL THEN 'ready' ELSE 'pending' END AS class, coalesce(s, f) AS status, coalesce(ss, fs) AS score_total FROM (SELECT pos, sha256(url || chr(10) || title) AS key FROM articles) a LEFT JOIN ({_CACHE}) c ON a.key = c.cache_key"
 _DAILY = "SELECT CAST(CAST(ts + INTERVAL 8 HOUR AS DATE) AS VARCHAR) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2"
 _PLAIN = lambda c: "list_distinct(list_transform(regexp_extract_all(coalesce(%s, ''), '(?:^|[^A-Za-z])(\\d[\\d,.]*%%?)', 1), lambda x: regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(x, ',', ''), '\\.+(%%?)$', '\\1'), '^0+(\\d)', '\\1'), '^\\.', '0.'), '^%%', '0%%')))" % c  # noqa: E731, UP031
+_KNOWN = f"concat_ws(chr(10), title, strftime({S.utc('published_at')} + INTERVAL 8 HOUR, '%Y-%m-%dT%H:%M:%S') || '+08:00', evidence)"
 _RUNS = "SELECT CAST(o_custkey AS VARCHAR) AS title, CASE WHEN o_orderstatus = 'O' THEN 'in_progress' ELSE 'completed' END AS status, CASE WHEN o_orderstatus = 'F' THEN 'success' WHEN o_orderstatus = 'P' THEN 'failure' END AS conclusion, CAST(o_orderdate AS DATE) AS day FROM orders"
 
 ORACLES: dict[str, str] = {
@@ -210,7 +211,7 @@ ORACLES: dict[str, str] = {
     "signal_counts": "WITH h AS (SELECT DISTINCT signal_id FROM signals WHERE signal_id < '8'), n AS (SELECT count(DISTINCT signal_id) AS inserted FROM signals WHERE signal_id NOT IN (SELECT signal_id FROM h)) SELECT (SELECT count(*) FROM signals) AS rows, inserted, (SELECT count(*) FROM signals) - inserted AS duplicates FROM n",
     "signal_merge": "SELECT signal_id, max(coalesce(heat, -1)) AS heat, arg_max(source_key, struct_pack(h := coalesce(heat, -1), s := source_key)) AS source_key FROM signals GROUP BY signal_id",
     "plain_number_tokens": f"SELECT DISTINCT signal_id, coalesce(array_to_string(list_sort({_PLAIN('evidence')}), ' '), '') AS numbers FROM signals",
-    "signal_summary_checks": f"SELECT DISTINCT signal_id, CASE WHEN {S.visible('summary_zh')} NOT BETWEEN 20 AND 150 THEN 'length' WHEN contains(summary_zh, chr(10)) THEN 'lines' WHEN contains(summary_zh, '相关时间') OR contains(summary_zh, '相关数值') THEN 'placeholder' WHEN regexp_matches(summary_zh, '政策利好|重大利好|利空|高利润|巨大商机') THEN 'judgement' WHEN NOT regexp_matches(summary_zh, '卖家|进口商|出口商|平台|消费者|供应链|清关|关税|合规|成本|物流|报关|申报|运营') THEN 'impact' ELSE '' END AS problem FROM signals",
+    "signal_summary_checks": f"SELECT DISTINCT signal_id, CASE WHEN {S.visible('summary_zh')} NOT BETWEEN 20 AND 150 THEN 'length' WHEN contains(summary_zh, chr(10)) THEN 'lines' WHEN contains(summary_zh, '相关时间') OR contains(summary_zh, '相关数值') THEN 'placeholder' WHEN regexp_matches(summary_zh, '政策利好|重大利好|利空|高利润|巨大商机') THEN 'judgement' WHEN NOT regexp_matches(summary_zh, '卖家|进口商|出口商|平台|消费者|供应链|清关|关税|合规|成本|物流|报关|申报|运营') THEN 'impact' WHEN len(list_filter({_PLAIN('summary_zh')}, lambda x: NOT list_contains({_PLAIN(_KNOWN)}, x))) > 0 THEN 'number' ELSE '' END AS problem FROM signals",
     "keyword_signals": "SELECT DISTINCT signal_id FROM signals WHERE regexp_matches(lower(concat_ws(' ', title, original_keyword)), 'coffee|solar|咖啡机|露营|kids')",
     "signals_of_country": "SELECT signal_id, max(heat) AS heat, epoch_us(max(published_at)) AS published_us FROM signals WHERE epoch_us(published_at) >= 1767225600000000 AND list_contains(countries, 'us') GROUP BY signal_id",
     "signals_by_ids": "SELECT signal_id, count(*) AS n FROM signals WHERE signal_id IN (SELECT signal_id FROM signals WHERE confidence = 'high') GROUP BY signal_id",
@@ -221,7 +222,7 @@ ORACLES: dict[str, str] = {
     "cache_last_writes": "SELECT cache_key, stage, stage_version, epoch_us(max(updated_at)) AS updated_us FROM stage_cache GROUP BY ALL",
     "cache_classes": _CLASSES,
     "cache_counts": f"SELECT CAST(sum(CASE class WHEN 'rejected' THEN 1 WHEN 'ready' THEN 2 ELSE 0 END) AS BIGINT) AS hits, count(*) FILTER (WHERE class = 'pending') AS misses, count(*) AS evaluated FROM ({_CLASSES})",
-    "stale_sources": "SELECT b.source FROM (SELECT source, max(pos) AS p FROM articles WHERE batch_no <= 9 GROUP BY source) b LEFT JOIN (SELECT source, max(pos) AS p FROM articles WHERE batch_no > 9 AND pos % 3 = 0 GROUP BY source) a ON a.source = b.source WHERE coalesce(a.p, 0) <= b.p",
+    "stale_sources": "SELECT b.source FROM (SELECT source, max(pos) AS p FROM articles WHERE batch_no <= 9 GROUP BY source) b LEFT JOIN (SELECT source, max(pos) AS p FROM articles WHERE batch_no > 9 GROUP BY source) a ON a.source = b.source WHERE coalesce(a.p, 0) <= b.p",
     "cell_texts": f"SELECT record_id, CASE WHEN starts_with({S.strip('url_cell')}, '{{') THEN coalesce(nullif(json_extract_string(url_cell, '$.link'), ''), json_extract_string(url_cell, '$.text')) ELSE {S.strip('url_cell')} END AS text FROM records",
     "traffic_numbers": "SELECT DISTINCT signal_id, TRY_CAST(nullif(regexp_replace(meta['rank'], '[^0-9.]', '', 'g'), '') AS DOUBLE) AS rank FROM signals",
     "document_links": "SELECT DISTINCT doc_id, url FROM (SELECT doc_id, unnest(list_transform(regexp_extract_all(text, '(?i)href=[\"'']([^\"''#]+)[\"'']', 1), lambda x: regexp_replace(x, '\\?.*$', ''))) AS url FROM documents) WHERE regexp_full_match(url, 'https?://[a-z0-9.-]+/\\w+')",
@@ -231,7 +232,7 @@ ORACLES: dict[str, str] = {
     "run_actions": f"SELECT title, CASE WHEN (r).s = 'in_progress' THEN 'skip active' WHEN (r).c = 'success' THEN 'skip done' ELSE 'dispatch' END AS action, CAST((r).d AS VARCHAR) AS created_at FROM (SELECT title, max(struct_pack(d := day, s := status, c := coalesce(conclusion, ''))) AS r FROM ({_RUNS}) GROUP BY title)",
     "oldest_missing": f"SELECT CAST(min(d) AS VARCHAR) AS day FROM (SELECT CAST(unnest(generate_series(DATE '1998-10-31', DATE '1998-11-30', INTERVAL 1 DAY)) AS DATE) AS d) WHERE d NOT IN (SELECT day FROM ({_RUNS}) WHERE conclusion = 'success') HAVING min(d) IS NOT NULL",
     "recovery_windows": "SELECT record_id, array_to_string(list_transform(generate_series(greatest(d - 1, d + CAST(scan_pos % 9 AS INTEGER) - 6), CAST(d + CAST(scan_pos % 9 AS INTEGER) AS DATE), INTERVAL 1 DAY), lambda x: CAST(CAST(x AS DATE) AS VARCHAR)), ',') AS days, CAST(d - 1 AS VARCHAR) || ',' || CAST(d - 2 AS VARCHAR) AS before FROM (SELECT record_id, scan_pos, CAST(make_timestamp(published_ms * 1000) AS DATE) AS d FROM records WHERE published_ms IS NOT NULL)",
-    "event_names": "SELECT record_id, strftime(make_timestamp(published_ms * 1000) + INTERVAL 8 HOUR, '%Y%m%d%H%M%S') || '-' || sha256(record_id || '|' || CAST(published_ms AS VARCHAR))[1:12] AS event FROM records WHERE published_ms IS NOT NULL",
+    "event_names": "SELECT record_id, 'login-' || strftime(make_timestamp(published_ms * 1000) + INTERVAL 8 HOUR, '%Y%m%dT%H%M%S') || '-' || sha256(record_id || ':' || CAST(published_ms AS VARCHAR))[1:12] AS event FROM records WHERE published_ms IS NOT NULL",
 }
 QUERIES = {f.__name__: f for f in (
     signal_keys, signal_sink_rows, signal_counts, signal_merge, plain_number_tokens, signal_summary_checks, keyword_signals, signals_of_country, signals_by_ids, country_type_gate, source_states, enabled_sources,

@@ -33,6 +33,16 @@ def clean(c: str) -> str:
     return f"(SELECT coalesce(array_to_string(list_filter(l, lambda x, i: i = 1 OR x <> l[i - 1]), chr(10)), '') FROM (SELECT {lines(c)} AS l))"
 
 
+def clean_of(text: str) -> str:
+    """The same for an expression that is long or has strings of its own."""
+    return f"(SELECT coalesce(array_to_string(list_filter(l, lambda x, i: i = 1 OR x <> l[i - 1]), chr(10)), '') FROM (SELECT {lines('t')} AS l FROM (SELECT {text} AS t)))"
+
+
+def words(values: list[str]) -> str:
+    """A list of words."""
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
 def visible(c: str) -> str:
     return f"length(regexp_replace(coalesce({c}, ''), '{SPACE}+', '', 'g'))"
 

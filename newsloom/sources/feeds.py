@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.functions.html import html_text, page_links, page_time_text, page_title
-from newsloom.functions.text import clean_text, normalize_url
+from newsloom.functions.html import html_text, page_links, page_time, page_title
+from newsloom.functions.text import clean_text, normalize_url, strip
 from newsloom.operators.dedupe import first_per_key
 from newsloom.schemas import FEED_ITEM
 from newsloom.sources.registry import collector
@@ -60,9 +60,9 @@ def _rss(spark: SparkSession, spec: dict, folder: str) -> DataFrame:
 
 
 def html_pages(pages: DataFrame, selector: Column | None = None) -> DataFrame:
-    """Adds title, text and time text of each page (url, html), by the row's selector."""
+    """Adds title, text and instant of publication of each page (url, html), by the row's selector."""
     chosen = selector if selector is not None else F.lit(None).cast("string")
-    return pages.withColumns({"title": page_title(F.col("html")), "text": clean_text(html_text(F.col("html"), chosen)), "time_text": page_time_text(F.col("html"))})
+    return pages.withColumns({"title": page_title(F.col("html")), "text": clean_text(html_text(F.col("html"), chosen)), "published": page_time(F.col("html"))})
 
 
 def listed_links(pages: DataFrame, pattern: str, id_col: str = "pos") -> DataFrame:
@@ -75,7 +75,7 @@ def list_items(pages: DataFrame, row_pattern: str, least_title: int = 8, id_col:
     time. Short titles and entries without a time are dropped; of equal addresses the first stays."""
     groups = [F.regexp_extract_all("html", F.lit(row_pattern), F.lit(g)) for g in (1, 2, 3)]
     rows = pages.select(id_col, F.posexplode(F.arrays_zip(*(g.alias(n) for g, n in zip(groups, ("url", "title", "time"))))).alias("position", "x")).select(id_col, "position", "x.*")
-    rows = rows.withColumn("title", F.trim(F.regexp_replace("title", "<[^>]*>", ""))).where((F.length("title") >= least_title) & (F.trim("time") != ""))
+    rows = rows.withColumn("title", strip(F.regexp_replace("title", "<[^>]*>", ""))).where((F.length("title") >= least_title) & (strip(F.col("time")) != ""))
     firsts = rows.groupBy(id_col, normalize_url(F.col("url")).alias("_u")).agg(F.min("position").alias("position")).drop("_u")
     return rows.join(firsts, [id_col, "position"], "left_semi")
 

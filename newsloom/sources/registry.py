@@ -43,6 +43,31 @@ def collect(spark: SparkSession, spec: dict, folder: str, secrets: frozenset[str
     return _COLLECTORS[spec["kind"]](spark, spec, folder), []
 
 
+def collect_all(spark: SparkSession, specs: list[dict], folder: str, secrets: frozenset[str] = frozenset()) -> tuple[DataFrame | None, list[dict]]:
+    """The tables of all sources as one, with source_key, and a state for each source: ok, skipped (with warnings) or
+    failed (with the error). One source's failure leaves the others as they are. Columns that a source lacks are null."""
+    union, states = None, []
+    for spec in specs:
+        state = {"source_key": spec["source_key"], "state": "ok", "messages": []}
+        try:
+            table, state["messages"] = collect(spark, spec, folder, secrets)
+            if table is None:
+                state["state"] = "skipped"
+            else:
+                table = table.withColumn("source_key", F.lit(spec["source_key"]))
+                union = table if union is None else union.unionByName(table, allowMissingColumns=True)
+        except Exception as e:  # noqa: BLE001 - whatever a collector raises is that source's state
+            state |= {"state": "failed", "messages": [str(e).split("\n")[0]]}
+        states.append(state)
+    return union, states
+
+
+def source_states(states: list[dict], rows: DataFrame) -> DataFrame:
+    """(source_key, state, messages, rows) from the states of a run and the rows that it collected."""
+    flat = rows.sparkSession.createDataFrame([(s["source_key"], s["state"], "; ".join(s["messages"])) for s in states], "source_key string, state string, messages string")
+    return flat.join(rows.groupBy("source_key").agg(F.count("*").alias("rows")), "source_key", "left").fillna(0, ["rows"])
+
+
 def enabled_specs(specs: DataFrame, cadence: str | None = None) -> DataFrame:
     """Specifications that are enabled and, if given, of a cadence; both reach the scan as filters."""
     out = specs.where("enabled")
@@ -51,5 +76,5 @@ def enabled_specs(specs: DataFrame, cadence: str | None = None) -> DataFrame:
 
 def sources_by_country(specs: DataFrame, countries: DataFrame) -> DataFrame:
     """One row for each source and country of it, with the country's columns; unknown countries are dropped."""
-    spread = specs.withColumn("country_code", F.explode("countries")).drop("countries")
-    return spread.join(countries, "country_code")
+    each = specs.withColumn("country_code", F.explode("countries")).drop("countries")
+    return each.join(countries, "country_code")

@@ -59,6 +59,18 @@ def record_rows(articles: DataFrame, columns: list[str], content: Column, instan
     return articles.select(*(c.alias(n) for n, c in cells.items() if n in columns or n in ("title", "url")))
 
 
+def article_rows(articles: DataFrame, instant: Column) -> DataFrame:
+    """The eleven columns of the delivered table, as text: title, source, address, image, time, day (that of the time where
+    there is none), topics joined by 、, category, status, content and the reason of a failure."""
+    r, meta = F.col("ai_result"), F.col("meta")
+    text = lambda c: F.coalesce(c, F.lit(""))
+    return articles.select(
+        text(F.col("title")).alias("title"), text(F.col("source")).alias("source_name"), text(F.col("url")).alias("url"), text(meta["image"]).alias("image"), F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss").alias("published"),
+        F.coalesce(F.col("daily_date"), F.to_date(instant)).cast("string").alias("day"), F.array_join(F.coalesce(r["topics"], F.array().cast("array<string>")), "、").alias("topics"), text(r["category"]).alias("category"),
+        text(F.col("record_status")).alias("status"), text(r["core_content"]).alias("content"), text(meta["failure_reason"]).alias("failure_reason"),
+    )
+
+
 def signal_rows(signals: DataFrame) -> DataFrame:
     """Rows for the signal table: lists joined by 、, and the type where there is no topic."""
     joined = lambda c: F.array_join(F.coalesce(F.col(c), F.array().cast("array<string>")), "、")
@@ -89,6 +101,34 @@ def invalid_after_write(written: DataFrame, table: DataFrame, key: str, fields:
     return joined.where(F.col("_t").isNull() | ~F.col("_t").eqNullSafe(F.col("_w"))).select(key).distinct()
 
 
+def unwritten(written: DataFrame, table: DataFrame, key: str, status: str, content: str, finished: str) -> DataFrame:
+    """Keys that were written and are missing, have another status, or are finished without content."""
+    there = table.groupBy(F.col(key).alias("__nl_k")).agg(F.max(F.struct(F.coalesce(F.col(status), F.lit("")).alias("s"), F.coalesce(F.col(content), F.lit("")).alias("c"))).alias("__nl_t"))
+    joined = written.select(key, F.coalesce(F.col(status), F.lit("")).alias("__nl_s")).join(there, F.col(key) == F.col("__nl_k"), "left")
+    wrong = F.col("__nl_t").isNull() | (F.col("__nl_t.s") != F.col("__nl_s")) | ((F.col("__nl_t.s") == finished) & (F.col("__nl_t.c") == ""))
+    return joined.where(wrong).select(key).distinct()
+
+
+def sync(table: DataFrame, rows: DataFrame, key: str, order: str, fields: list[str], repetition: str = "repetition") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(table, actions, invalid): a keyed table after rows are written into it, what each row did, and the keys of written
+    rows that the table does not have as they were written.
+
+    Of rows with the same key the last by ``order`` is written. Repetitions are written only over a record that is there.
+    Rows with a null key are an error of the caller and are left out.
+    """
+    names = [key, *fields]
+    last = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(F.struct(order, "status", *fields)).alias("__nl_r"))
+    last = last.select(key, F.col("__nl_r.status").alias("__nl_status"), *(F.col(f"__nl_r.{f}").alias(f) for f in fields))
+    there = table.select(F.col(key).alias("__nl_k"), F.struct(*fields).alias("__nl_t"))
+    met = last.join(there, F.col(key) == F.col("__nl_k"), "left")
+    action = F.when(F.col("__nl_k").isNull() & (F.col("__nl_status") == repetition), "left out").when(F.col("__nl_k").isNull(), "insert")
+    action = action.when(F.col("__nl_t").eqNullSafe(F.struct(*fields)), "unchanged").otherwise("update")
+    actions = met.withColumn("action", action).drop("__nl_k", "__nl_t", "__nl_status")
+    written = actions.where("action <> 'left out'")
+    after = table.select(*names).join(written.select(key), key, "left_anti").unionByName(written.select(*names))
+    return after, actions, invalid_after_write(written.select(*names), after, key, fields)
+
+
 def backfill_days(records: DataFrame) -> DataFrame:
     """Records with a null daily_ms filled from published_ms (start of the local day), and filled telling which."""
     day = local_day(F.timestamp_millis("published_ms"))

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from newsloom.sources import feeds, registry, sinks
-from newsloom.streaming.daily import daily_counts, flush_into
+from newsloom.streaming.daily import daily_counts, flush_into, read_flushed
 from newsloom.streaming.recovery import Watch, days_to_recover, replay, step, watch
 
 
@@ -60,13 +60,24 @@ def test_daily_stream_and_flush(spark, tmp_path):
     query = daily_counts(stream, by=["kind"]).writeStream.outputMode("complete").format("memory").queryName("counts").option("checkpointLocation", str(tmp_path / "c1")).trigger(availableNow=True).start()
     query.awaitTermination()
     assert rows(spark.table("counts")) == rows(daily_counts(df, by=["kind"]))
-    flush = flush_into(str(tmp_path / "out"), "kind")
-    for _ in range(2):
-        flush(df, 0)
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 2
-    query = stream.writeStream.foreachBatch(flush_into(str(tmp_path / "out2"), "id")).option("checkpointLocation", str(tmp_path / "c2")).trigger(availableNow=True).start()
+    query = stream.writeStream.foreachBatch(flush_into(str(tmp_path / "out2"), ["id"], ["ts"])).option("checkpointLocation", str(tmp_path / "c2")).trigger(availableNow=True).start()
     query.awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "out2")).count() == 40
+    assert rows(read_flushed(spark, str(tmp_path / "out2"), ["id"], ["ts"])) == rows(df)
+
+
+def test_flush_is_keyed_and_repeatable(spark, tmp_path):
+    at, keys, order = str(tmp_path / "out"), ["id"], ["v"]
+    frame = lambda data: spark.createDataFrame(data, "id long, v long, t string")
+    flush = flush_into(at, keys, order)
+    assert read_flushed(spark, at, keys, order) is None
+    flush(frame([(1, 1, "a"), (1, 2, "b"), (2, 1, "x"), (2, 1, "x")]), 0)
+    flush(frame([(1, 2, "b"), (2, 5, "y"), (3, 1, None)]), 1)
+    for _ in range(2):
+        assert rows(read_flushed(spark, at, keys, order)) == [(1, 2, "b"), (2, 5, "y"), (3, 1, None)]
+        assert spark.read.parquet(at).where("batch = 1").count() == 2  # (1, 2, b) is there already
+        flush(frame([(1, 2, "b"), (2, 5, "y"), (3, 1, None)]), 1)
+    flush(frame([]), 2)
+    assert read_flushed(spark, at, keys, order).count() == 3
 
 
 def test_feeds(spark, tmp_path):

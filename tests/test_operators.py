@@ -91,6 +91,33 @@ def test_either_key_against_loop(spark, data):
     assert sorted(got) == sorted(kept)
 
 
+def test_hot_keys(spark):
+    """Half of all rows under one key or in one day, blank keys and blank titles for a third."""
+    data = [(i, "hot" if i % 2 else f"u{i}", None if i % 3 == 0 else f"t{i % 7}", i % 5) for i in range(300)]
+    df = spark.createDataFrame(data, "pos int, u string, t string, n int")
+    us, ts, kept = set(), set(), []
+    for i, u, t, _ in sorted(data, key=lambda x: (-x[3], x[0])):
+        if u not in us and t not in ts:
+            kept.append(i)
+            us.add(u)
+            ts |= {t} if t else set()
+    assert sorted(r["pos"] for r in either_key(df, [F.col("u"), F.col("t")], [F.col("n")]).collect()) == sorted(kept)
+    records = df.where("pos < 50").select(F.col("pos").alias("o"), "u", "t", F.col("pos").cast("string").alias("rid"))
+    got = dict(rows(two_key_match(df, records, ("t", "u"), "o", "rid").select("pos", "matched")))
+    last = lambda k, c: max((x[0] for x in data[:50] if x[c] == k and k is not None), default=None)
+    assert got == {i: None if (r := last(t, 2) if last(t, 2) is not None else last(u, 1)) is None else str(r) for i, u, t, _ in data}
+
+
+def test_hot_day(spark):
+    r = random.Random(8)
+    words = ["红茶", "滤杯", "帐篷", "灯具", "轮胎", "围巾"]
+    items = [{"i": i, "d": date(2026, 1, 1 if i % 2 else 2 + i % 3), "t": "" if i % 3 == 0 else "".join(r.choice(words) for _ in range(6)), "e": "sameeventforall" if i % 4 == 0 else "", "q": r.randint(0, 9), "g": 4, "k": 3, "p": ["p" * r.randint(4, 30)]} for i in range(240)]
+    schema = "pos long, daily_date date, title string, ai_result struct<event_key: string, score_total: int, scores: struct<information_gain: int, evidence_density: int>, unique_points: array<string>, core_facts: array<string>>"
+    data = [(x["i"], x["d"], x["t"], (x["e"], x["q"], (x["g"], x["k"]), x["p"], [])) for x in items]
+    got = {x["pos"]: (x["leader"], x["status"]) for x in cluster_events(spark.createDataFrame(data, schema)).collect()}
+    assert got == _loop_clusters(items)
+
+
 def test_matching(spark):
     a = spark.createDataFrame([(1, "u1", "t9"), (2, "u9", "t2"), (3, None, None), (4, "u9", "t9")], "pos int, u string, t string")
     r = spark.createDataFrame([("r1", 1, "u1", "t1"), ("r2", 2, "u1", "t2"), ("r3", 3, "u3", "t2"), ("r4", 4, None, None)], "rid string, o int, u string, t string")
@@ -178,6 +205,17 @@ def test_chunks_and_fit():
     fitted = fit_summary(f"```text\n{long}\n```")
     assert len("".join(fitted.split())) <= 480 and fitted.count("\n\n") == 2 and "乙" * 50 in fitted
     assert fit_summary("短") == "短"
+    # 480 less 3 x 100 is shared in turn: a third of 180, then a third of 120, then a third of 80, and again
+    assert [len(p) for p in fit_summary("\n".join(c * 300 for c in "甲乙丙")).split("\n\n")] == [186, 157, 137]
+    assert [len(p) for p in fit_summary("甲" * 220 + "\n" + "乙" * 210 + "\n" + "丙" * 210).split("\n\n")] == [186, 157, 137]
+
+
+def test_packet_by_hand():
+    found = [(0, 0, "甲" * 20, 1), (0, 1, "乙" * 20, 3), (1, 0, "丙" * 20, 2), (1, 1, "乙" * 20 + "。", 2), (2, 0, "丁" * 20, 0)]
+    assert packet(found, 60, 1000) == f"E001 {'乙' * 20}\nE002 {'丙' * 20}\nE003 {'丁' * 20}"
+    assert packet(found, 61, 1000) == packet(found, 60, 1000)  # the next by score repeats a sentence
+    assert packet(found, 82, 1000) == f"E001 {'甲' * 20}\nE002 {'乙' * 20}\nE003 {'丙' * 20}\nE004 {'丁' * 20}"
+    assert packet(found, 60, 30) == f"E001 {'乙' * 20}"
 
 
 def test_reports(spark):
@@ -205,7 +243,7 @@ def test_schedule(spark):
     assert rows(oldest_missing_day(runs, today, 3)) == [(date(2026, 1, 7),)]
     assert oldest_missing_day(runs.unionAll(spark.createDataFrame([(date(2026, 1, 8), "queued", None)], runs.schema)), today, 3).count() == 0
     assert [r["action"] for r in next_action(runs.select("status", "conclusion")).collect()] == ["skip done", "dispatch"]
-    asks = spark.createDataFrame([("ev-123", ["2026-01-09"]), ("ev-123", ["2026-01-09", "2026-01-09"]), ("ev-123", ["2025-12-01"]), ("ev-123", ["bad"]), ("!", ["2026-01-09"]), ("ev-123", [])], "e string, d array<string>")
+    asks = spark.createDataFrame([("event-123", ["2026-01-09"]), ("event-123", ["2026-01-09", "2026-01-09"]), ("event-123", ["2025-12-01"]), ("event-123", ["bad"]), ("ev-123!!", ["2026-01-09"]), ("event-123", [])], "e string, d array<string>")
     assert [r[0] for r in asks.select(valid_request(F.col("e"), F.col("d"), today)).collect()] == [True, False, False, False, False, False]
     left = spark.range(1).select(expiry_warning(F.lit(date(2026, 2, 1)), F.lit(datetime(2026, 1, 31, 12))).alias("x")).first()["x"]
     assert tuple(left) == (2, True)
