@@ -146,12 +146,28 @@ def text_measures(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return dealt(texts.where("doc_id is not null and text is not null and text rlike '\\\\S'")).mapInPandas(_measured, FEATURES)
 
 
+#: Texts that a language must have to be measured against itself; those of smaller ones are measured against all texts.
+LEAST_TEXTS = 50
+ALL = "all"
+
+
+def by_group(features: DataFrame, least: int = LEAST_TEXTS) -> tuple[DataFrame, DataFrame]:
+    """The features with the group whose usual texts each is measured against (as language), and those that the groups'
+    models are made of: every language by itself, and all texts together if some language is too small."""
+    sizes = {r["language"]: r["count"] for r in features.groupBy("language").count().collect()}  # a few languages
+    small = [name for name, n in sizes.items() if n < least]
+    if not small:
+        return features, features
+    judged = features.withColumn("language", F.when(F.col("language").isin(small), ALL).otherwise(F.col("language")))
+    return judged, features.where(~F.col("language").isin(small)).unionByName(features.withColumn("language", F.lit(ALL)))
+
+
 def robust_model(features: DataFrame) -> dict[str, dict[str, np.ndarray]]:
     """For each language the centre, scale and inverse scatter over all texts.
 
     Three aggregations with partial sums: medians and median deviations by mergeable sketches, then the sums
     of products over the texts none of whose measures lies far out. The result is a few numbers for each of
-    the five languages.
+    the few languages.
     """
     k = F.col("language")
     middle = {r["language"]: np.array([r[m] for m in _NAMES]) for r in features.groupBy(k).agg(*(F.percentile_approx(m, 0.5, 5000).alias(m) for m in _NAMES)).collect()}
@@ -159,15 +175,26 @@ def robust_model(features: DataFrame) -> dict[str, dict[str, np.ndarray]]:
         return {}
     away = features.groupBy(k).agg(*(F.percentile_approx(F.abs(F.col(m) - _by_language(middle, i)), 0.5, 5000).alias(m) for i, m in enumerate(_NAMES)))
     scale = {r["language"]: np.array([max(1.4826 * r[m], _FLOOR[m]) for m in _NAMES]) for r in away.collect()}
-    z = _deviations(features, middle, scale)
-    near = z.where(" and ".join(f"abs(z_{m}) <= {NEAR}" for m in _NAMES))
     n = len(_NAMES)
-    products = near.groupBy(k).agg(F.count("*").alias("n"), *(F.sum(F.col(f"z_{_NAMES[i]}") * F.col(f"z_{_NAMES[j]}")).alias(f"s_{i}_{j}") for i in range(n) for j in range(i + 1)))
-    sums = {r["language"]: r for r in products.collect()}
+    names = ["n", *(f"s_{i}_{j}" for i in range(n) for j in range(i + 1))]
+
+    def products(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Sums over the texts near the middle, a row for each language of a batch."""
+        for f in frames:
+            rows = []
+            for lang, part in f.groupby("language"):
+                z = (part[_NAMES].to_numpy() - middle[lang]) / scale[lang]
+                z = z[(np.abs(z) <= NEAR).all(axis=1)]
+                s = z.T @ z
+                rows.append((lang, float(len(z)), *(s[i, j] for i in range(n) for j in range(i + 1))))
+            yield pd.DataFrame(rows, columns=["language", *names])
+
+    near = features.mapInPandas(products, ", ".join(["language string", *(f"{x} double" for x in names)]))
+    sums = {r["language"]: r for r in near.groupBy(k).agg(*(F.sum(x).alias(x) for x in names)).collect()}
     model = {}
     for lang in middle:
         scatter = np.eye(n)
-        if lang in sums:
+        if lang in sums and sums[lang]["n"]:
             r = sums[lang]
             scatter = (1 - SHRINK) * np.array([[r[f"s_{max(i, j)}_{min(i, j)}"] / r["n"] for j in range(n)] for i in range(n)]) + SHRINK * scatter
         model[lang] = {"centre": middle[lang], "scale": scale[lang], "inverse": np.linalg.inv(scatter)}
@@ -182,8 +209,10 @@ def _by_language(values: dict[str, np.ndarray], i: int):
     return F.create_map(*(x for k, v in values.items() for x in (F.lit(k), F.lit(float(v[i])))))[F.col("language")]
 
 
-def _deviations(features: DataFrame, centre: dict, scale: dict) -> DataFrame:
-    return features.withColumns({f"z_{m}": (F.col(m) - _by_language(centre, i)) / _by_language(scale, i) for i, m in enumerate(_NAMES)})
+def standing(values: np.ndarray, model: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Squared Mahalanobis distance of measures from the usual, and how far they lie in the direction of spam."""
+    z = np.clip((values - model["centre"]) / model["scale"], -MOST, MOST)
+    return np.einsum("ij,jk,ik->i", z, model["inverse"], z), z @ np.array(list(MEASURES.values())) / math.sqrt(len(MEASURES))
 
 
 def find_spam(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", far: float = FAR, towards: float = TOWARDS) -> DataFrame:
@@ -193,12 +222,17 @@ def find_spam(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
     are ignored; the lang column is not used. Measures are taken once and kept in the shared folder.
     """
     features = stored(text_measures(rows, id_col, text_col), "measures")
-    model = robust_model(features)
+    judged, usual = by_group(features)
+    model = robust_model(usual)
     if not model:
         return features.select(F.col("doc_id").alias(id_col))
-    z = _deviations(features, {k: v["centre"] for k, v in model.items()}, {k: v["scale"] for k, v in model.items()})
-    n = len(_NAMES)
-    z_of = [F.greatest(F.lit(-MOST), F.least(F.lit(MOST), F.col(f"z_{m}"))) for m in _NAMES]
-    distance = sum((_by_language({k: v["inverse"][i] for k, v in model.items()}, j) * z_of[i] * z_of[j] for i in range(n) for j in range(n)), F.lit(0.0))
-    direction = sum((z_of[i] * MEASURES[m] for i, m in enumerate(_NAMES)), F.lit(0.0)) / math.sqrt(n)
-    return z.where((distance > far) & (direction > towards)).select(F.col("doc_id").alias(id_col))
+
+    def far_out(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            hit = np.zeros(len(f), bool)
+            for lang, at in f.groupby("language").indices.items():
+                distance, direction = standing(f[_NAMES].to_numpy()[at], model[lang])
+                hit[at] = (distance > far) & (direction > towards)
+            yield f.loc[hit, ["doc_id"]]
+
+    return judged.mapInPandas(far_out, "doc_id long").withColumnRenamed("doc_id", id_col)
