@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from newsloom.functions.text import bound, clean_answer, clean_text, json_object, numbers_with_units, visible_chars
 from newsloom.operators.cache import last_writes
 from newsloom.operators.evidence import fitted_summary
-from newsloom.operators.rules import NO_EVIDENCE, SCORES, is_valuable, score_total, summary_problem, tidy_verdict
+from newsloom.operators.rules import SCORES, is_valuable, score_total, summary_problem, tidy_verdict
 from newsloom.session import stored
 
 #: Answers to a list of rows, in their order. May raise one of the two errors below; any other error is the caller's fault.
@@ -229,5 +229,3 @@ def enriched(signals: DataFrame, ask: Ask, key: str = "signal_id", size: int = 1
     cut = lambda c, n: F.when(yes, F.substring(clean_text(F.coalesce(F.col(f"__nl_a.{c}"), F.lit(""))), 1, n))
     return found.select(key, status.alias("status"), "error", cut("keyword_zh", 100).alias("keyword"), cut("topic", 40).alias("topic"), cut("section", 40).alias("section"))
 
-
-__all__ = ["Ask", "NO_EVIDENCE", "Unavailable", "Unsafe", "analyse", "asked", "enriched", "error_counts", "known_text", "pending_mark", "read_verdict"]

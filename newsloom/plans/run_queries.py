@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.functions.dates import local_day
-from newsloom.functions.text import clean_text, failure_markers, json_object, normalize_url, sink_identity
+from newsloom.functions.text import clean_text, failure_markers, json_object, sink_identity
 from newsloom.operators.matching import backfill_split, known_evidence
 from newsloom.operators.model import Unavailable, Unsafe, analyse, enriched, error_counts, known_text, pending_mark
 from newsloom.operators.progress import complete, flush_due, incomplete, manifests, next_flush, resume
