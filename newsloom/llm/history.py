@@ -42,7 +42,6 @@ ADDED = {
 _LABEL_HEAD = re.compile(rf"\s*(?:【[^】]{{1,12}}】|\[[^\]]{{1,24}}\]|(?:{'|'.join(sorted(map(re.escape, LABELS), key=len, reverse=True))})\s*[:|·丨-])\s*", re.IGNORECASE)
 _HAN = re.compile(r"[㐀-鿿]")
 _HALVES = re.compile(r"(?<!\d)[,:;|](?:\s|(?=\D))|(?<=\d)[,:;|](?=\s|[^\d\s])|[?？。、]")
-_WORDS = re.compile(r"\d+(?:[.,]\d+)*|%|[^\W\d_]+")
 _JOINED_ADVERB = re.compile(r",\s*共同")
 _SAME = {w: group.split()[0] for group in SYNONYMS for w in group.split()}
 _HAN_SAME = [(w, to) for w, to in sorted(_SAME.items(), key=lambda x: -len(x[0])) if _HAN.match(w)]
