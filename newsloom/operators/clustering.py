@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsloom.functions.text import normalize_title
-from newsloom.session import stored
+from newsloom.session import stored, unsent
 
 TITLE_LEAST, EVENT_LEAST, POINT_LEAST = 0.90, 0.84, 0.80
 MAIN, INCREMENT, REPETITION = "main", "increment", "repetition"
@@ -116,8 +116,8 @@ def similar_values(values: DataFrame, least: float, parts: int = 8) -> DataFrame
     which depends on the order; each pair is tested both ways.
 
     ``values`` has block and text, distinct and not blank. Pairs are found through shared rare signs, which loses
-    none, and tested in batches. Signs that many texts share are split into ``parts`` on one side. Texts that are
-    equal are one value, so only different texts that are alike are paired.
+    none, and tested in batches. Signs that many texts share are split into ``parts`` on one side, and neither side is
+    broadcast. Texts that are equal are one value, so only different texts that are alike are paired.
     """
     values = stored(values, "values")
     signs = stored(_with_signs(values, least, _frequencies(values)), "signs")
@@ -125,22 +125,22 @@ def similar_values(values: DataFrame, least: float, parts: int = 8) -> DataFrame
     a = signs.select("block", "sign", F.col("text").alias("later"), salt.alias("part"))
     b = signs.select("block", "sign", F.col("text").alias("earlier"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
     size = F.length("later") + F.length("earlier")
-    near = a.join(b, ["block", "sign", "part"]).where((F.col("later") != F.col("earlier")) & (2 * F.least(F.length("later"), F.length("earlier")) >= least * size))
+    near = a.join(unsent(b), ["block", "sign", "part"]).where((F.col("later") != F.col("earlier")) & (2 * F.least(F.length("later"), F.length("earlier")) >= least * size))
     near = near.select("block", "later", "earlier").distinct()
     return near.where(_pair_test(least)(F.col("later"), F.col("earlier")))
 
 
 def _salted(rows: DataFrame, small: DataFrame, keys: list[str], salts: int = 16) -> DataFrame:
-    """Left join with a table of one row a key, each of its rows spread over ``salts`` parts."""
+    """Left join with a table of one row a key, each of its rows spread over ``salts`` parts; it is not broadcast."""
     left = rows.withColumn("__nl_salt", F.pmod(F.xxhash64("rank"), F.lit(salts)).cast("int"))
     right = small.withColumn("__nl_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*keys, "__nl_salt"], "left").drop("__nl_salt")
+    return left.join(unsent(right), [*keys, "__nl_salt"], "left").drop("__nl_salt")
 
 
 def _nearest(ranks: DataFrame, edges: DataFrame) -> DataFrame:
     """(day, kind, text, first): of the rows of a text and of the texts that it is like, the first rank."""
     own = ranks.groupBy("day", "kind", "text").agg(F.min("rank").alias("first"))
-    of_others = edges.join(own.withColumnRenamed("text", "earlier"), ["day", "kind", "earlier"]).select("day", "kind", F.col("later").alias("text"), "first")
+    of_others = edges.join(unsent(own.withColumnRenamed("text", "earlier")), ["day", "kind", "earlier"]).select("day", "kind", F.col("later").alias("text"), "first")
     return own.unionByName(of_others).groupBy("day", "kind", "text").agg(F.min("first").alias("first"))
 
 
@@ -186,18 +186,18 @@ def cluster_events(articles: DataFrame, day: str = "daily_date", id_col: str = "
             break
         met = _salted(open_, _nearest(open_, edges), ["day", "kind", "text"])
         fresh = stored(met.groupBy("day", "rank").agg(F.bool_and(F.col("first") >= F.col("rank")).alias("leads")).where("leads").select("day", "rank"), "leaders")
-        fresh = stored(open_.join(fresh, ["day", "rank"], "left_semi"), "leading")
+        fresh = stored(open_.join(unsent(fresh), ["day", "rank"], "left_semi"), "leading")
         leaders = fresh if leaders is None else leaders.unionByName(fresh)
         met = _salted(open_, _nearest(fresh, edges), ["day", "kind", "text"])
         gone = met.groupBy("day", "rank").agg(F.bool_or(F.coalesce(F.col("first") <= F.col("rank"), F.lit(False))).alias("gone")).where("gone").select("day", "rank")
-        open_ = stored(open_.join(gone, ["day", "rank"], "left_anti"), "open")
+        open_ = stored(open_.join(unsent(gone), ["day", "rank"], "left_anti"), "open")
     else:
         raise RuntimeError(f"leaders are still open after {most_rounds} rounds")
     leaders = links.limit(0) if leaders is None else leaders
     met = _salted(links, _nearest(leaders, edges), ["day", "kind", "text"])
     led = met.groupBy("day", "rank").agg(F.min("first").alias("leader"))
-    members = stored(own.join(led, ["day", "rank"]).select("day", "id", "rank", "leader", "points"), "members")
-    out = members.join(_fresh_points(members), "id", "left")
+    members = stored(own.join(unsent(led), ["day", "rank"]).select("day", "id", "rank", "leader", "points"), "members")
+    out = members.join(unsent(_fresh_points(members)), "id", "left")
     status = F.when(F.col("rank") == F.col("leader"), MAIN).when(F.col("fresh"), INCREMENT).otherwise(REPETITION)
     return out.select(F.col("id").alias(id_col), F.col("day").alias(day), F.col("leader.id").alias("leader"), status.alias("status"))
 
@@ -211,7 +211,7 @@ def _fresh_points(members: DataFrame) -> DataFrame:
     points = stored(members.select(F.col("leader.id").alias("block"), "id", "rank", "leader", F.posexplode("points").alias("k", "text")), "points")
     had = points.groupBy("block", "text").agg(F.min("rank").alias("since"))
     alike = similar_values(points.where("text <> ''").select("block", "text").distinct(), POINT_LEAST)
-    of_others = alike.join(had.withColumnRenamed("text", "earlier"), ["block", "earlier"]).select("block", F.col("later").alias("text"), "since")
+    of_others = alike.join(unsent(had.withColumnRenamed("text", "earlier")), ["block", "earlier"]).select("block", F.col("later").alias("text"), "since")
     since = had.unionByName(of_others).groupBy("block", "text").agg(F.min("since").alias("since"))
     asked = points.where("-rank.b >= 4 and -rank.c >= 3 and rank <> leader")
     met = _salted(asked, since, ["block", "text"])

@@ -88,6 +88,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unsent(df: DataFrame) -> DataFrame:
+    """The frame as a side of a join of which neither side is broadcast.
+
+    Spark takes a stored table to be as large as its compressed files, and rows spread over salts to be one copy of
+    them. What it sends for such a side can be many times its limit and fill the driver, so these joins are sorted.
+    """
+    return df.hint("merge")
+
+
 def dealt(df: DataFrame) -> DataFrame:
     """The frame dealt out to as many partitions as the session setting ``newsloom.deal`` says, or as it is.
 
