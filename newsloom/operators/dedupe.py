@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.session import stored
+from newsloom.session import stored, unsent
 
 
 def best_per_key(df: DataFrame, keys: list[Column], best: list[Column], id_col: str = "pos") -> DataFrame:
@@ -44,7 +44,7 @@ def either_key(df: DataFrame, keys: list[Column], best: list[Column], id_col: st
 
     A round sends back what it needs by aggregation: the first row of each key, by partial sums, and from these how
     many keys a row leads. Only the keys of kept rows are joined to the rows, each spread over ``salts`` parts, so
-    a key that a third of all rows share gathers nowhere. A written table cuts the lineage. Chains of more than
+    a key that a third of all rows share gathers nowhere; none of these tables is broadcast. A written table cuts the lineage. Chains of more than
     ``most_rounds`` undecided rows are settled with more rounds (the parameter); beyond it, an error.
     """
     order = F.struct(*(b.alias(f"b{i}") for i, b in enumerate(best)), (-F.col(id_col)).alias("id"))
@@ -59,13 +59,13 @@ def either_key(df: DataFrame, keys: list[Column], best: list[Column], id_col: st
         firsts = stored(links.groupBy("key").agg(F.max(F.struct("order", "id", "n")).alias("first")).select("key", "first.id", "first.n"), "firsts")
         led = stored(firsts.groupBy("id", "n").agg(F.count("*").alias("led")).where("led = n").select("id"), "kept")
         kept.append(led)
-        taken = firsts.join(led, "id", "left_semi").select("key", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+        taken = firsts.join(unsent(led), "id", "left_semi").select("key", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
         salted = links.select("id", "key", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int").alias("salt"))
-        gone = salted.join(taken, ["key", "salt"], "left_semi").select("id").distinct()
-        open_ = stored(open_.join(gone, "id", "left_anti"), "keys")
+        gone = salted.join(unsent(taken), ["key", "salt"], "left_semi").select("id").distinct()
+        open_ = stored(open_.join(unsent(gone), "id", "left_anti"), "keys")
     else:
         raise RuntimeError(f"rows are still open after {most_rounds} rounds")
     ids = kept[0]
     for k in kept[1:]:
         ids = ids.unionByName(k)
-    return df.join(ids.withColumnRenamed("id", id_col), id_col, "left_semi")
+    return df.join(unsent(ids.withColumnRenamed("id", id_col)), id_col, "left_semi")
